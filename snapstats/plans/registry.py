@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.plans import report_queries
+from snapstats.plans import planning_queries, report_queries
 from snapstats.plans.driver_tables import DriverTables, with_views
 
-GROUPS = [report_queries]
+GROUPS = [report_queries, planning_queries]
 
 
 def _entries() -> dict:
