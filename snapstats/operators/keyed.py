@@ -89,10 +89,12 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
     broadcast then updates the table in place of its scan, without shuffling it.
     """
     keys = list(keys)
-    incoming = incoming.select(*_shared(current, incoming))
-    updates = [c for c in update_cols if c in incoming.columns]
-    if order is not None:
-        incoming = _fold_batch(incoming, keys, updates, order)
+    columns = _shared(current, incoming)
+    updates = [c for c in update_cols if c in columns]
+    if order is None:
+        incoming = incoming.select(*columns)
+    else:
+        incoming = _fold_batch(incoming, keys, [c for c in columns if c not in keys], updates, order)
     hit = F.struct(*updates).alias("_new") if updates else F.struct(F.lit(1).alias("_hit")).alias("_new")
     joined = current.join(incoming.select(*keys, hit), keys, "left")
     updated = joined.select(*[
@@ -108,18 +110,17 @@ def replace_by_parent(current: DataFrame, incoming: DataFrame, parent: str, pare
     return kept.unionByName(incoming.select(*_shared(current, incoming)), allowMissingColumns=True)
 
 
-def _fold_batch(incoming: DataFrame, keys: list[str], updates: list[str], order: Column | str) -> DataFrame:
-    order = F.col(order) if isinstance(order, str) else order
-    kept = [c for c in incoming.columns if c not in keys and c not in updates]
+def _fold_batch(incoming: DataFrame, keys: list[str], columns: list[str], updates: list[str],
+                order: Column | str) -> DataFrame:
+    kept = [c for c in columns if c not in updates]
     parts = []
     if kept:
         parts.append(F.min_by(F.struct(*kept), order).alias("_first"))
     if updates:
         parts.append(F.max_by(F.struct(*updates), order).alias("_last"))
     if not parts:
-        return incoming.distinct()
-    folded = incoming.groupBy(*keys).agg(*parts)
-    return folded.select(
+        return incoming.select(*keys).distinct()
+    return incoming.groupBy(*keys).agg(*parts).select(
         *keys,
         *[F.col("_first")[c].alias(c) for c in kept],
         *[F.col("_last")[c].alias(c) for c in updates],

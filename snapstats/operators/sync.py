@@ -59,6 +59,17 @@ def sync_counts(table: str, source: DataFrame, destination: DataFrame, keys: Seq
         F.count_if(~F.col("_known")).alias("synced"), F.count_if("_known").alias("skipped"))
 
 
+def sync_report(source: Mapping[str, DataFrame], destination: Mapping[str, DataFrame],
+                tables: Iterable[str] | None = None, incremental: bool = False, dry_run: bool = False) -> DataFrame:
+    """What a sync of these tables moves, one row per table, without moving it."""
+    names = [t for t in (tables if tables is not None else SYNC_TABLES) if t in SYNC_TABLES and t in source]
+    report = None
+    for t in names:
+        row = sync_counts(t, source[t], destination[t], PRIMARY_KEYS[t], incremental, dry_run)
+        report = row if report is None else report.unionByName(row)
+    return report
+
+
 def sync_table(table: str, source: DataFrame, destination: DataFrame, write: Callable[[str, DataFrame, bool], None],
                keys: Sequence[str] | None = None, incremental: bool = False, dry_run: bool = False) -> dict:
     """Carry one table and report on it. `write(table, rows, append)` is the sink.
