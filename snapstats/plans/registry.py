@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.plans import maintenance_queries, planning_queries, report_queries
+from snapstats.plans import maintenance_queries, planning_queries, report_queries, shaping_queries
 from snapstats.plans.driver_tables import DriverTables, with_views
 
-GROUPS = [report_queries, planning_queries, maintenance_queries]
+GROUPS = [report_queries, planning_queries, maintenance_queries, shaping_queries]
 
 
 def _entries() -> dict:
