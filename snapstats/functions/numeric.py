@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+
 
 def at_least(value: Column, floor: int) -> Column:
     """Larger of the two, but NULL stays NULL (`greatest` alone would return the floor)."""
@@ -16,8 +18,11 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
 
 
 def count_or_zero(value: Column) -> Column:
-    """A count as delivered (text or number) to bigint; missing or not a whole number gives 0."""
-    return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """A count as delivered (text) to bigint; missing or not a whole number gives 0.
+
+    The form is checked before the cast, which otherwise raises and catches an exception per bad row.
+    """
+    return F.coalesce(F.when(value.rlike(WHOLE_NUMBER), value).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def whole_div(value: Column, divisor: int) -> Column:

@@ -6,9 +6,15 @@ import string
 
 from pyspark.sql import Column, functions as F
 
-# Fixed formats.
-DURATION = r"^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?"
-CHAPTER_LINE = r"(?sU)^[\s•\-\*]*([0-9]{1,2}:)?([0-9]{1,2}):([0-9]{2})[\s\-:]+(.+?)$"
+# Fixed formats. White space is listed: the regex flag for Unicode classes costs several times as much.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+DURATION = r"(?s)^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?.*$"
+CHAPTER_LINE = (
+    rf"(?s)^[{WHITE_SPACE}•\-\*]*([0-9]{{1,2}}:)?([0-9]{{1,2}}):([0-9]{{2}})[{WHITE_SPACE}\-:]+(.+?)$"
+)
 CHANNEL_KEY_LENGTH = 24
 CHANNEL_KEY_PREFIX = "UC"
 SITE_HANDLE = r"(?U)youtube\.com/@([\w.-]+)"
@@ -17,7 +23,7 @@ SITE_CHANNEL = r"youtube\.com/channel/(UC[\w-]{22})"
 
 def strip(value: Column) -> Column:
     """Drop surrounding white space of every kind, not only blanks."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
+    return F.trim(value, F.lit(WHITE_SPACE))
 
 
 def fold_case(value: Column) -> Column:
@@ -25,32 +31,36 @@ def fold_case(value: Column) -> Column:
     return F.translate(value, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def _group_number(value: Column, pattern: str, group: int) -> Column:
-    # An unmatched group is '' and casts to NULL.
-    return F.coalesce(F.regexp_extract(value, pattern, group).try_cast("bigint"), F.lit(0))
+def _number(text: Column) -> Column:
+    # An unmatched group is ''. It must not reach the cast: a failing cast costs an exception per row.
+    return F.coalesce(F.nullif(text, F.lit("")).try_cast("bigint"), F.lit(0))
 
 
 def iso_duration_seconds(value: Column) -> Column:
     """`PT1H2M3S` to seconds. Matches a prefix; NULL unless the text starts with `PT`."""
-    hours, minutes, seconds = (_group_number(value, DURATION, g) for g in (1, 2, 3))
-    return F.when(value.startswith("PT"), hours * 3600 + minutes * 60 + seconds)
+    parts = F.split(F.regexp_replace(value, DURATION, "$1:$2:$3"), ":")
+    seconds = F.aggregate(parts, F.lit(0).cast("bigint"), lambda total, part: total * 60 + _number(part))
+    return F.when(value.startswith("PT"), seconds)
+
+
+def chapter_lines(description: Column) -> Column:
+    """The lines of a description that look like chapters, stripped, in order."""
+    lines = F.transform(F.split(description, "\n"), strip)
+    return F.filter(lines, lambda line: line.contains(":") & line.rlike(CHAPTER_LINE))
+
+
+def has_chapter_line(description: Column) -> Column:
+    return F.exists(F.split(description, "\n"), lambda line: line.contains(":") & strip(line).rlike(CHAPTER_LINE))
 
 
 def chapter_marks(description: Column) -> Column:
     """Array of (title, start_seconds), one per chapter-like line, in the order of the lines."""
-    lines = F.transform(F.split(description, "\n"), strip)
-    found = F.filter(lines, lambda line: line.rlike(CHAPTER_LINE))
-
-    def mark(line: Column) -> Column:
-        hours = F.coalesce(F.rtrim(F.regexp_extract(line, CHAPTER_LINE, 1), F.lit(":")).try_cast("bigint"), F.lit(0))
-        minutes = _group_number(line, CHAPTER_LINE, 2)
-        seconds = _group_number(line, CHAPTER_LINE, 3)
-        return F.struct(
-            strip(F.regexp_extract(line, CHAPTER_LINE, 4)).alias("title"),
-            (hours * 3600 + minutes * 60 + seconds).alias("start_seconds"),
-        )
-
-    return F.transform(found, mark)
+    # One match per line: its groups side by side, the title last because it may hold anything.
+    groups = F.transform(
+        chapter_lines(description), lambda line: F.split(F.regexp_replace(line, CHAPTER_LINE, "$1|$2|$3|$4"), r"\|", 4))
+    return F.transform(groups, lambda g: F.struct(
+        strip(g[3]).alias("title"),
+        (_number(F.rtrim(g[0], F.lit(":"))) * 3600 + _number(g[1]) * 60 + _number(g[2])).alias("start_seconds")))
 
 
 def identifier_kind(identifier: Column) -> Column:

@@ -15,7 +15,7 @@ def parse_timestamp(text: Column) -> Column:
     Going through `timestamp` keeps the zone of `...Z` and `...+02:00` spellings, which a direct cast
     to `timestamp_ntz` would drop.
     """
-    return text.try_cast("timestamp")
+    return F.nullif(text, F.lit("")).try_cast("timestamp")
 
 
 def moment(as_of: AsOf, like: T.DataType | None = None) -> Column:

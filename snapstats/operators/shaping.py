@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapstats.functions.numeric import count_or_zero, flag, percent
-from snapstats.functions.text import chapter_marks, identifier_kind, identifier_value, iso_duration_seconds
+from snapstats.functions.text import (
+    chapter_marks, has_chapter_line, identifier_kind, identifier_value, iso_duration_seconds,
+)
 from snapstats.functions.timeutil import parse_timestamp
 from snapstats.operators.keyed import top_per_key
 from snapstats.schemas import PAYLOAD_DDL
@@ -60,10 +62,10 @@ def channel_rows(items: DataFrame) -> DataFrame:
 
 
 def video_rows(items: DataFrame) -> DataFrame:
-    """Video items to metadata, counts and the chapter marks of the description."""
+    """Video items to metadata and counts; the chapters themselves come from `chapter_rows`."""
     item = F.col("item")
     snippet, content, status, counts = (item[p] for p in ("snippet", "contentDetails", "status", "statistics"))
-    rows = items.select(
+    return items.select(
         item["id"].alias("video_id"), snippet["channelId"].alias("channel_id"), snippet["title"].alias("title"),
         snippet["description"].alias("description"), parse_timestamp(snippet["publishedAt"]).alias("published_at"),
         iso_duration_seconds(content["duration"]).alias("duration_seconds"),
@@ -78,9 +80,8 @@ def video_rows(items: DataFrame) -> DataFrame:
         _list(item["topicDetails"]["topicCategories"]).alias("topic_categories"),
         count_or_zero(counts["viewCount"]).alias("view_count"), count_or_zero(counts["likeCount"]).alias("like_count"),
         count_or_zero(counts["commentCount"]).alias("comment_count"),
-        chapter_marks(F.coalesce(snippet["description"], F.lit(""))).alias("chapter_marks"),
+        flag(has_chapter_line(snippet["description"])).alias("has_chapters"),
     )
-    return rows.withColumn("has_chapters", F.size("chapter_marks") > 0)
 
 
 def playlist_rows(items: DataFrame) -> DataFrame:
@@ -101,12 +102,10 @@ def chapter_rows(videos: DataFrame) -> DataFrame:
     A chapter ends where the next begins; the last ends with the video, or is open without a duration.
     The marks sit in one array of the row, so looking at the next one needs no window and no shuffle.
     """
-    if "chapter_marks" not in videos.columns:
-        videos = videos.withColumn("chapter_marks", chapter_marks(F.col("description")))
-    duration = F.col("duration_seconds")
-    marks = F.col("chapter_marks")
+    duration, marks = F.col("duration_seconds"), F.col("_marks")
     return (
-        videos.select("video_id", duration, marks, F.posexplode(marks).alias("chapter_index", "_mark"))
+        videos.select("video_id", duration, chapter_marks(F.col("description")).alias("_marks"))
+        .select("video_id", duration, marks, F.posexplode(marks).alias("chapter_index", "_mark"))
         .select(
             "video_id", "chapter_index", F.col("_mark.title").alias("title"),
             F.col("_mark.start_seconds").alias("start_seconds"),
