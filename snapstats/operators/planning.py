@@ -170,7 +170,8 @@ def discovery_needed(remote_counts: DataFrame, videos: DataFrame, backfill: bool
 
 
 def new_video_ids(listing: DataFrame, videos: DataFrame) -> DataFrame:
-    return listing.select("channel_id", "video_id").join(videos.select("video_id"), "video_id", "left_anti")
+    new = listing.select("channel_id", "video_id").join(videos.select("video_id"), "video_id", "left_anti")
+    return new.select("channel_id", "video_id")
 
 
 def vanished_video_ids(videos: DataFrame, listing: DataFrame, complete_channels: DataFrame) -> DataFrame:
@@ -182,6 +183,7 @@ def vanished_video_ids(videos: DataFrame, listing: DataFrame, complete_channels:
         videos.filter(~F.col("privacy_status").eqNullSafe("deleted")).select("channel_id", "video_id")
         .join(complete_channels.select("channel_id"), "channel_id", "left_semi")
         .join(listing.select("video_id"), "video_id", "left_anti")
+        .select("channel_id", "video_id")
     )
 
 
