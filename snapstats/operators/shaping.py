@@ -61,12 +61,12 @@ def channel_rows(items: DataFrame) -> DataFrame:
     )
 
 
-def video_rows(items: DataFrame) -> DataFrame:
-    """Video items to metadata and counts; the chapters themselves come from `chapter_rows`."""
+def video_rows(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Video items to metadata and counts, with the `keep` columns; chapters come from `chapter_rows`."""
     item = F.col("item")
     snippet, content, status, counts = (item[p] for p in ("snippet", "contentDetails", "status", "statistics"))
     return items.select(
-        item["id"].alias("video_id"), snippet["channelId"].alias("channel_id"), snippet["title"].alias("title"),
+        *keep, item["id"].alias("video_id"), snippet["channelId"].alias("channel_id"), snippet["title"].alias("title"),
         snippet["description"].alias("description"), parse_timestamp(snippet["publishedAt"]).alias("published_at"),
         iso_duration_seconds(content["duration"]).alias("duration_seconds"),
         F.coalesce(content["duration"], F.lit("")).alias("duration_iso"), snippet["categoryId"].alias("category_id"),
@@ -134,12 +134,16 @@ def kept_replies(thread: Column, max_replies: int) -> Column:
     return F.slice(replies, 1, max_replies)
 
 
-def comment_rows(threads: DataFrame, max_replies: int = 10) -> DataFrame:
-    """Comment threads (columns `video_id`, `item`) to rows: the top comment, then its first replies."""
+def comment_rows(threads: DataFrame, max_replies: int = 10, keep: Sequence[str] = ()) -> DataFrame:
+    """Comment threads (columns `video_id`, `item`) to rows: the top comment, then its first replies.
+
+    Further columns of the thread named in `keep` go to each of its rows.
+    """
     item = F.col("item")
     top = _comment(item["snippet"]["topLevelComment"]["snippet"], item["id"], F.lit(None).cast("string"))
     replies = F.transform(kept_replies(item, max_replies), lambda r: _comment(r["snippet"], r["id"], item["id"]))
-    return threads.select("video_id", F.explode(F.concat(F.array(top), replies)).alias("_c")).select("video_id", "_c.*")
+    everything = F.explode(F.concat(F.array(top), replies)).alias("_c")
+    return threads.select("video_id", *keep, everything).select("video_id", *keep, "_c.*")
 
 
 def threads_since(threads: DataFrame, latest: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from snapstats.schemas import payload_schema
+from snapstats.schemas import PAYLOAD_DDL, payload_schema
 
 CORRUPT = "_corrupt_record"
 
@@ -14,15 +14,15 @@ CORRUPT = "_corrupt_record"
 def read_landing(spark: SparkSession, path: str, payload: str, extra: str = "") -> DataFrame:
     """JSON lines of one payload as a nested `item`; a line that cannot be read is kept as text.
 
-    `extra` names further top-level fields in DDL, e.g. the video a thread belongs to.
+    `extra` names further top-level fields in DDL, e.g. the video a thread belongs to. The lines are read as
+    text and parsed by expression: the JSON reader refuses to look at the unreadable lines by themselves.
     """
-    schema = payload_schema(payload)
-    wanted = T.StructType(list(schema.fields))
-    own = T.StructType.fromDDL(extra) if extra else T.StructType([])
-    for field in own.fields:
-        wanted = wanted.add(field)
-    rows = spark.read.schema(wanted.add(CORRUPT, "string")).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    return rows.select(F.struct(*schema.fieldNames()).alias("item"), *own.fieldNames(), CORRUPT)
+    names = payload_schema(payload).fieldNames()
+    own = T.StructType.fromDDL(extra).fieldNames() if extra else []
+    ddl = ", ".join([PAYLOAD_DDL[payload], *([extra] if extra else []), f"{CORRUPT} string"])
+    line = F.from_json("value", ddl, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = spark.read.text(path).filter(F.col("value") != "").select(line.alias("_line")).select("_line.*")
+    return rows.select(F.struct(*names).alias("item"), *own, CORRUPT)
 
 
 def readable(landed: DataFrame) -> DataFrame:
@@ -30,7 +30,7 @@ def readable(landed: DataFrame) -> DataFrame:
 
 
 def corrupt(landed: DataFrame) -> DataFrame:
-    """Lines set aside. All columns are read: a scan of this column alone would never see it filled."""
+    """Lines set aside."""
     return landed.filter(F.col(CORRUPT).isNotNull())
 
 

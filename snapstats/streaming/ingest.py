@@ -37,23 +37,17 @@ def ingest_comments(spark: SparkSession, path: str, checkpoint: str, database: s
                     max_replies: int = 10) -> StreamingQuery:
     """Landed comment threads into `comments`; a known comment keeps its first text."""
     def work(batch: DataFrame, _: int) -> None:
-        rows = comment_rows(batch, max_replies).join(
-            batch.select(F.col("item.id").alias("_thread"), "fetched_at").distinct(),
-            F.coalesce("parent_comment_id", "comment_id") == F.col("_thread"), "left").drop("_thread")
+        rows = valid_rows(comment_rows(batch, max_replies, ["fetched_at"]), "comment_id")
         current = spark.table(qualified("comments", database))
-        append("comments", new_comments(current, valid_rows(rows, "comment_id"), order="fetched_at"), database)
+        append("comments", new_comments(current, rows, order="fetched_at"), database)
     return _run(landing_stream(spark, path, "comment_thread", "video_id string, fetched_at timestamp"), checkpoint, work)
 
 
 def ingest_video_stats(spark: SparkSession, path: str, checkpoint: str, database: str | None = None) -> StreamingQuery:
     """Counts of landed video items into `video_stats`, one snapshot per video and fetch time."""
     def work(batch: DataFrame, _: int) -> None:
-        shaped = batch.select("item", "fetched_at")
-        counts = video_rows_with_time(shaped)
+        rows = valid_rows(video_rows(batch, ["fetched_at"]), "video_id")
+        counts = rows.select("video_id", "fetched_at", "view_count", "like_count", "comment_count")
         current = spark.table(qualified("video_stats", database))
-        append("video_stats", new_stats("video_stats", current, valid_rows(counts, "video_id")), database)
+        append("video_stats", new_stats("video_stats", current, counts), database)
     return _run(landing_stream(spark, path, "video", "fetched_at timestamp"), checkpoint, work)
-
-
-def video_rows_with_time(items: DataFrame) -> DataFrame:
-    return video_rows(items)
