@@ -62,7 +62,8 @@ def rows_missing(incoming: DataFrame, current: DataFrame, keys: Sequence[str]) -
 
     The stored keys are first reduced to those of the batch: with a batch that fits a broadcast the
     table is read (keys only) and never shuffled. A partition column that follows from the key may be
-    passed as one more key to prune the read.
+    passed as one more key to prune the read. The batch is read twice, so one that is dear to compute
+    should be written first.
     """
     wanted = incoming.select(*keys)
     known = current.select(*keys).join(wanted, list(keys), "left_semi")
@@ -77,7 +78,7 @@ def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                 order: Column | str | None = None) -> DataFrame:
+                 order: Column | str | None = None, whole_table: bool = False) -> DataFrame:
     """Partial-column upsert.
 
     Known keys take `update_cols` from the incoming row and keep the rest; new keys are inserted whole.
@@ -85,8 +86,9 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
     from the last. Without `order` the incoming keys must be unique. Incoming columns the table lacks
     are ignored; table columns the batch lacks stay as they are, or NULL in new rows.
 
-    Written as a left join plus the missing rows rather than a full outer join: a batch that fits a
-    broadcast then updates the table in place of its scan, without shuffling it.
+    A batch is joined left and its new rows added: one that fits a broadcast updates the table along its
+    scan, without shuffling it. `whole_table` says the incoming side is of the table's own size; then one
+    full outer join reads and shuffles either side once.
     """
     keys = list(keys)
     columns = _shared(current, incoming)
@@ -95,13 +97,19 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
         incoming = incoming.select(*columns)
     else:
         incoming = _fold_batch(incoming, keys, [c for c in columns if c not in keys], updates, order)
-    hit = F.struct(*updates).alias("_new") if updates else F.struct(F.lit(1).alias("_hit")).alias("_new")
-    joined = current.join(incoming.select(*keys, hit), keys, "left")
-    updated = joined.select(*[
-        F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
-        for c in current.columns
-    ])
-    return updated.unionByName(rows_missing(incoming, current, keys), allowMissingColumns=True)
+    brought = [c for c in columns if c not in keys] if whole_table else updates
+    new = F.struct(F.lit(True).alias("_hit"), *brought).alias("_new")
+    hit = F.col("_new").isNotNull()
+    updated = [F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
+               for c in current.columns]
+    if not whole_table:
+        joined = current.join(incoming.select(*keys, new), keys, "left").select(*updated)
+        return joined.unionByName(rows_missing(incoming, current, keys), allowMissingColumns=True)
+    joined = current.withColumn("_old", F.lit(True)).join(incoming.select(*keys, new), keys, "full")
+    return joined.select(*[
+        F.when(F.col("_old").isNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+        if c in brought and c not in updates else value
+        for c, value in zip(current.columns, updated)])
 
 
 def replace_by_parent(current: DataFrame, incoming: DataFrame, parent: str, parents: DataFrame) -> DataFrame:

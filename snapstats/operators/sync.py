@@ -37,7 +37,8 @@ def full_merge(source: DataFrame, destination: DataFrame, keys: Sequence[str]) -
     shared, missing = common_columns(source, destination)
     if missing:
         log.warning("columns missing in destination: %s", missing)
-    return merge_by_key(destination, source.select(*shared), keys, [c for c in shared if c not in keys])
+    return merge_by_key(destination, source.select(*shared), keys, [c for c in shared if c not in keys],
+                        whole_table=True)
 
 
 def sync_counts(table: str, source: DataFrame, destination: DataFrame, keys: Sequence[str],

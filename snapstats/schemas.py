@@ -92,8 +92,9 @@ EXPORT_TABLES = [
     "channels", "channel_stats", "videos", "video_stats", "chapters", "transcripts", "comments", "playlists",
 ]
 
-# Append-only tables laid out by day, so that time windows prune whole folders.
-DAY_PARTITIONED = {"channel_stats": "fetched_at", "video_stats": "fetched_at", "comments": "fetched_at"}
+# Append-only tables laid out by month, so that time windows prune whole folders. Within a month every run
+# writes its own files with a narrow range of times, which the file statistics prune further.
+MONTH_PARTITIONED = {"channel_stats": "fetched_at", "video_stats": "fetched_at", "comments": "fetched_at"}
 
 
 def table_schema(name: str) -> T.StructType:

@@ -6,20 +6,21 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapstats.schemas import DAY_PARTITIONED, TABLE_DDL, table_schema
+from snapstats.functions.timeutil import AsOf, days_before, moment_for
+from snapstats.schemas import MONTH_PARTITIONED, TABLE_DDL, table_schema
 
-DAY_COLUMN = "fetched_date"
+MONTH_COLUMN = "fetched_month"
 
 
 def create_tables(spark: SparkSession, database: str | None = None, location: str | None = None) -> list[str]:
     """Create every table that does not exist yet; running it again changes nothing.
 
-    Snapshot tables are laid out by day, so a time window reads only its days.
+    Snapshot tables are laid out by month, so `load_window` reads only the months it needs.
     """
     names = []
     for table, ddl in TABLE_DDL.items():
         name = qualified(table, database)
-        partitioned = f", {DAY_COLUMN} date) USING parquet PARTITIONED BY ({DAY_COLUMN})" if table in DAY_PARTITIONED \
+        partitioned = f", {MONTH_COLUMN} date) USING parquet PARTITIONED BY ({MONTH_COLUMN})" if table in MONTH_PARTITIONED \
             else ") USING parquet"
         place = f" LOCATION '{location.rstrip('/')}/{table}'" if location else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}{partitioned}{place}")
@@ -44,9 +45,23 @@ def load_tables(spark: SparkSession, root: str, tables: Iterable[str] | None = N
 
 def load_catalog(spark: SparkSession, database: str | None = None, tables: Iterable[str] | None = None,
                  ) -> dict[str, DataFrame]:
-    """Tables of the catalog by name, without the layout column."""
-    names = list(tables) if tables is not None else list(TABLE_DDL)
-    return {t: spark.table(qualified(t, database)).drop(DAY_COLUMN) for t in names}
+    """Tables of the catalog by name, without the layout column, as they are now: a session keeps a table's
+    file list, which other sessions may have added to.
+    """
+    loaded = {}
+    for table in tables if tables is not None else TABLE_DDL:
+        name = qualified(table, database)
+        spark.catalog.refreshTable(name)
+        loaded[table] = spark.table(name).drop(MONTH_COLUMN)
+    return loaded
+
+
+def load_window(spark: SparkSession, table: str, as_of: AsOf, days: int, database: str | None = None) -> DataFrame:
+    """The last `days` days of a snapshot table, read from their months only."""
+    stored = spark.table(qualified(table, database))
+    at = MONTH_PARTITIONED[table]
+    cutoff = days_before(moment_for(stored, at, as_of), days)
+    return stored.filter((F.col(MONTH_COLUMN) >= F.trunc(cutoff, "month")) & (F.col(at) >= cutoff)).drop(MONTH_COLUMN)
 
 
 def jdbc_options(url: str, table: str, partition_column: str | None = None, bounds: tuple | None = None,
@@ -67,7 +82,7 @@ def load_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 
 def append(table: str, rows: DataFrame, database: str | None = None) -> None:
-    """Add rows to a table. Snapshot tables are written by day; a heavy day is split over several files."""
+    """Add rows to a table. Snapshot tables are written by month; a heavy month is split over several files."""
     name = qualified(table, database)
     columns = table_schema(table).fieldNames()
     rows = rows.select(*[c for c in columns if c in rows.columns])
@@ -75,18 +90,22 @@ def append(table: str, rows: DataFrame, database: str | None = None) -> None:
         value = F.col(field.name) if field.name in rows.columns else F.lit(None)
         rows = rows.withColumn(field.name, value.cast(field.dataType))
     rows = rows.select(*columns)
-    if table in DAY_PARTITIONED:
-        rows = rows.withColumn(DAY_COLUMN, F.to_date(DAY_PARTITIONED[table])).hint("rebalance", DAY_COLUMN)
+    if table in MONTH_PARTITIONED:
+        rows = rows.withColumn(MONTH_COLUMN, F.trunc(MONTH_PARTITIONED[table], "month")).hint("rebalance", MONTH_COLUMN)
     rows.write.mode("append").insertInto(name)
 
 
 def publish(table: str, rows: DataFrame, location: str, database: str | None = None) -> None:
     """Write a whole new version to a fresh folder, then point the table at it.
 
-    The version being read is never touched: a job that fails half-way leaves the table as it was.
+    The version being read is never touched: a job that fails half-way leaves the table as it was. The rows
+    are written as they come: a merge that kept the layout of the old files needs no shuffle for new ones.
     """
-    spark = rows.sparkSession
-    rows.hint("rebalance").write.mode("errorifexists").parquet(location)
-    name = qualified(table, database)
+    rows.write.mode("errorifexists").parquet(location)
+    point_at(rows.sparkSession, qualified(table, database), location)
+
+
+def point_at(spark: SparkSession, name: str, location: str) -> None:
+    """Make a catalog table read the files of another folder."""
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from snapstats.operators.maintenance import new_comments, new_stats
 from snapstats.operators.shaping import comment_rows, valid_rows, video_rows
 from snapstats.schemas import payload_schema
-from snapstats.sources.tables import append, qualified
+from snapstats.sources.tables import append, load_catalog, qualified
 
 
 def landing_stream(spark: SparkSession, path: str, payload: str, extra: str, files_per_batch: int = 1000) -> DataFrame:
@@ -27,8 +27,17 @@ def landing_stream(spark: SparkSession, path: str, payload: str, extra: str, fil
     return rows.select(F.struct(*names).alias("item"), *own)
 
 
-def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def _run(spark: SparkSession, stream: DataFrame, checkpoint: str, table: str, database: str | None,
+         shape: Callable[[DataFrame], DataFrame], pick: Callable[[DataFrame, DataFrame], DataFrame]) -> StreamingQuery:
     """Process what has landed since the last run, then stop."""
+    def work(batch: DataFrame, _: int) -> None:
+        # A batch has a session of its own, with its own list of the table's files.
+        rows = shape(batch).persist()
+        current = load_catalog(batch.sparkSession, database, [table])[table]
+        append(table, pick(current, rows), database)
+        rows.unpersist()
+        spark.catalog.refreshTable(qualified(table, database))
+
     return (stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
@@ -36,18 +45,15 @@ def _run(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], No
 def ingest_comments(spark: SparkSession, path: str, checkpoint: str, database: str | None = None,
                     max_replies: int = 10) -> StreamingQuery:
     """Landed comment threads into `comments`; a known comment keeps its first text."""
-    def work(batch: DataFrame, _: int) -> None:
-        rows = valid_rows(comment_rows(batch, max_replies, ["fetched_at"]), "comment_id")
-        current = spark.table(qualified("comments", database))
-        append("comments", new_comments(current, rows, order="fetched_at"), database)
-    return _run(landing_stream(spark, path, "comment_thread", "video_id string, fetched_at timestamp"), checkpoint, work)
+    stream = landing_stream(spark, path, "comment_thread", "video_id string, fetched_at timestamp")
+    return _run(spark, stream, checkpoint, "comments", database,
+                lambda batch: valid_rows(comment_rows(batch, max_replies, ["fetched_at"]), "comment_id"),
+                lambda current, rows: new_comments(current, rows, order="fetched_at"))
 
 
 def ingest_video_stats(spark: SparkSession, path: str, checkpoint: str, database: str | None = None) -> StreamingQuery:
     """Counts of landed video items into `video_stats`, one snapshot per video and fetch time."""
-    def work(batch: DataFrame, _: int) -> None:
-        rows = valid_rows(video_rows(batch, ["fetched_at"]), "video_id")
-        counts = rows.select("video_id", "fetched_at", "view_count", "like_count", "comment_count")
-        current = spark.table(qualified("video_stats", database))
-        append("video_stats", new_stats("video_stats", current, counts), database)
-    return _run(landing_stream(spark, path, "video", "fetched_at timestamp"), checkpoint, work)
+    columns = ["video_id", "fetched_at", "view_count", "like_count", "comment_count"]
+    return _run(spark, landing_stream(spark, path, "video", "fetched_at timestamp"), checkpoint, "video_stats", database,
+                lambda batch: valid_rows(video_rows(batch, ["fetched_at"]), "video_id").select(*columns),
+                lambda current, rows: new_stats("video_stats", current, rows))

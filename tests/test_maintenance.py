@@ -24,6 +24,8 @@ def test_merge_is_idempotent_and_partial(spark, current, incoming):
     once = keyed.merge_by_key(cur, inc, ["k"], ["b"])
     expected = {k: (current.get(k, v)[0], v[1]) for k, v in incoming.items()}
     assert {r["k"]: (r["a"], r["b"]) for r in once.collect()} == current | expected
+    whole = keyed.merge_by_key(cur, inc, ["k"], ["b"], whole_table=True)
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, once.collect()))
     twice = keyed.merge_by_key(once, inc, ["k"], ["b"])
     assert sorted(map(repr, twice.collect())) == sorted(map(repr, once.collect()))
 

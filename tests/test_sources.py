@@ -51,10 +51,13 @@ def test_create_append_publish(spark, database, folder, rows):
         tables.publish("videos", current, f"{folder}/videos-2", database)
 
 
-def test_time_window_reads_only_its_days(spark, database):
-    tables.append("video_stats", stats(spark, ("a", T1, 1), ("a", T2, 2)), database)
-    day = spark.table(f"{database}.video_stats").filter(F.col(tables.DAY_COLUMN) == "2026-01-02")
-    assert len(day.inputFiles()) == 1 and day.count() == 1
+def test_time_window_reads_only_its_months(spark, database, rows):
+    tables.append("video_stats", stats(spark, ("a", T1, 1), ("a", dt.datetime(2026, 2, 2), 2), ("a", dt.datetime(2026, 2, 9), 3)),
+                  database)
+    window = tables.load_window(spark, "video_stats", "2026-02-10 00:00:00", 2, database)
+    assert rows(window, "view_count") == [(3,)]
+    plan = window._sc._jvm.PythonSQLUtils.explainString(window._jdf.queryExecution(), "simple")
+    assert "PartitionFilters: [isnotnull(fetched_month" in plan
 
 
 def test_load_folder(spark, folder, rows):
@@ -157,3 +160,40 @@ def test_streams_append_each_row_once(spark, database, folder, rows):
     ingest.ingest_video_stats(spark, f"{folder}/videos", f"{folder}/cp3", database).awaitTermination()
     assert rows(spark.table(f"{database}.video_stats"), "video_id", "view_count", F.dayofmonth("fetched_at")) == [
         ("v", 5, 1), ("v", 5, 2)]
+
+
+def test_a_run_brings_every_table_up_to_date(spark, database, folder, rows):
+    from snapstats.plans.jobs import Run, apply_landing
+
+    def land(day, title, views, comments):
+        root = f"{folder}/landing-{day}"
+        write_lines(f"{root}/channel", "1.json", [{"id": "c", "snippet": {"title": title}, "statistics": {"videoCount": "1"}}])
+        write_lines(f"{root}/video", "1.json", [
+            {"id": v, "snippet": {"channelId": "c", "title": title, "description": "0:00 Start" if day == 1 else "none"},
+             "statistics": {"viewCount": str(views), "commentCount": str(comments)}} for v in ("v", "w")] + ["{broken"])
+        write_lines(f"{root}/playlist", "1.json", [{"id": "p", "channel_id": "c", "snippet": {"title": title}}])
+        write_lines(f"{root}/comment_thread", "1.json", [
+            {"id": f"k{i}", "video_id": "v", "snippet": {"topLevelComment": {"snippet": {"textDisplay": title}}}}
+            for i in range(comments)])
+        return {k: f"{root}/{k}" for k in ("channel", "video", "playlist", "comment_thread")}
+
+    def table(name):
+        return tables.load_catalog(spark, database, [name])[name]
+
+    first = Run(spark, "run-1", f"{folder}/runs", database, "2026-01-01 06:00:00")
+    assert rows(apply_landing(first, land(1, "old", 10, 2)), "fetch_type", "videos_fetched", "comments_fetched", "status") == [
+        ("backfill", 2, 2, "completed")]
+    assert rows(table("chapters"), "video_id", "title") == [("v", "Start"), ("w", "Start")]
+    second = Run(spark, "run-2", f"{folder}/runs", database, "2026-01-02 06:00:00")
+    landing_2 = land(2, "new", 25, 3)
+    for _ in range(2):  # the same run again changes nothing
+        log = apply_landing(second, landing_2)
+        assert rows(log, "fetch_type", "comments_fetched") == [("incremental", 3)]
+        assert rows(table("videos"), "video_id", "title", F.dayofmonth("first_seen_at"), F.dayofmonth("updated_at")) == [
+            ("v", "new", 1, 2), ("w", "new", 1, 2)]
+        assert rows(table("video_stats"), "video_id", "view_count") == [("v", 10), ("v", 25), ("w", 10), ("w", 25)]
+        assert rows(table("comments"), "comment_id", "text") == [("k0", "old"), ("k1", "old"), ("k2", "new")]
+        assert rows(table("video_comment_summary"), "video_id", "stored_comment_count", "latest_youtube_comment_count") == [
+            ("v", 3, 3), ("w", 0, 3)]
+        assert table("chapters").isEmpty() and table("playlists").count() == 1
+        assert table("channel_stats").count() == 2 and table("fetch_log").count() == 2
