@@ -2,7 +2,7 @@
 
 Folder from BENCH_SF_DIR, threads from BENCH_CPUS. Each query runs once to warm up and then
 BENCH_RUNS times (default 3), every row being produced and thrown away; the median counts.
-Names given as arguments restrict the run to queries starting with them.
+The headline queries run by default; `all`, or names that queries start with, choose others.
 """
 
 from __future__ import annotations
@@ -19,6 +19,12 @@ from snapstats.plans.registry import queries  # noqa: E402
 from snapstats.session import build_session  # noqa: E402
 
 
+HEADLINE = (
+    "r", "v01", "p02", "p03", "p12", "p15", "p18", "p19_dry_run", "m02", "m05", "m06", "m08", "m10", "m14_purge_rest",
+    "s03", "s04", "s06_sync_report", "x02", "x07", "x08", "x10", "x11", "x12", "q01", "q03",
+)
+
+
 def seconds(spark, build, folder: str) -> float:
     start = time.perf_counter()
     build(spark, folder).write.format("noop").mode("overwrite").save()
@@ -33,7 +39,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
-    prefixes = tuple(sys.argv[1:])
+    prefixes = () if "all" in sys.argv[1:] else tuple(sys.argv[1:]) or HEADLINE
     times = {}
     for name, build in queries().items():
         if prefixes and not name.startswith(prefixes):

@@ -45,8 +45,8 @@ def iso_duration_seconds(value: Column) -> Column:
 
 def chapter_lines(description: Column) -> Column:
     """The lines of a description that look like chapters, stripped, in order."""
-    lines = F.transform(F.split(description, "\n"), strip)
-    return F.filter(lines, lambda line: line.contains(":") & line.rlike(CHAPTER_LINE))
+    timed = F.filter(F.split(description, "\n"), lambda line: line.contains(":"))
+    return F.filter(F.transform(timed, strip), lambda line: line.rlike(CHAPTER_LINE))
 
 
 def has_chapter_line(description: Column) -> Column:
@@ -58,9 +58,13 @@ def chapter_marks(description: Column) -> Column:
     # One match per line: its groups side by side, the title last because it may hold anything.
     groups = F.transform(
         chapter_lines(description), lambda line: F.split(F.regexp_replace(line, CHAPTER_LINE, "$1|$2|$3|$4"), r"\|", 4))
-    return F.transform(groups, lambda g: F.struct(
-        strip(g[3]).alias("title"),
-        (_number(F.rtrim(g[0], F.lit(":"))) * 3600 + _number(g[1]) * 60 + _number(g[2])).alias("start_seconds")))
+
+    def mark(g: Column) -> Column:
+        hours = F.when(g[0] != "", F.rtrim(g[0], F.lit(":")).cast("bigint")).otherwise(F.lit(0))
+        seconds = hours * 3600 + g[1].cast("bigint") * 60 + g[2].cast("bigint")
+        return F.struct(g[3].alias("title"), seconds.alias("start_seconds"))
+
+    return F.transform(groups, mark)
 
 
 def identifier_kind(identifier: Column) -> Column:

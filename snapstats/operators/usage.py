@@ -29,8 +29,11 @@ IDS_PER_CALL = 50
 COMMENTS_PER_CALL = 100
 NO_VIDEO_LIMIT = 99_999
 
-# Options a channel entry may set, with the value used when neither it nor the settings do.
+# Options a channel entry may set, with the value used when nothing else does.
 CHANNEL_OPTIONS = {
+    "fetch_comments": True,
+    "max_videos": None,
+    "max_video_age_days": None,
     "max_comments_per_video": 100,
     "max_replies_per_comment": 10,
     "max_comment_videos": 200,
@@ -39,6 +42,8 @@ CHANNEL_OPTIONS = {
     "video_discovery_mode": "auto",
     "comment_workers": 5,
 }
+# Not taken from the general settings: only the run or the channel itself sets them.
+CHANNEL_ONLY_OPTIONS = ["fetch_comments", "max_videos", "max_video_age_days"]
 
 
 def channel_cost(videos: Column, fetch_comments: bool = True, max_comments_per_video: int = 100) -> dict[str, Column]:
@@ -145,14 +150,20 @@ def run_totals(results: DataFrame) -> DataFrame:
 
 
 def resolve_options(channels: DataFrame, channel_options: DataFrame, settings: Mapping[str, object],
-                    defaults: Mapping[str, object] = CHANNEL_OPTIONS) -> DataFrame:
-    """Options per channel: its own value, else the setting, else the default."""
+                    run_options: Mapping[str, object] | None = None) -> DataFrame:
+    """Options per channel: those of this run, else the channel's own, else the setting, else the default."""
+    run_options = run_options or {}
     joined = channels.select("identifier").join(channel_options, "identifier", "left")
     resolved = []
-    for name, default in defaults.items():
-        value = settings.get(name, default)
-        fallback = F.lit(value)
-        resolved.append((F.coalesce(F.col(name), fallback) if name in channel_options.columns else fallback).alias(name))
+    for name, default in CHANNEL_OPTIONS.items():
+        if name not in CHANNEL_ONLY_OPTIONS:
+            default = settings.get(name, default)
+        value = F.lit(None).cast("bigint") if default is None else F.lit(default)
+        if run_options.get(name) is not None:
+            value = F.lit(run_options[name])
+        elif name in channel_options.columns:
+            value = F.coalesce(F.col(name), value)
+        resolved.append(value.alias(name))
     return joined.select("identifier", *resolved)
 
 

@@ -83,10 +83,11 @@ def landed_options(t: DriverTables):
     t["customer"].select(F.to_json(F.struct(
         F.col("c_name").alias("identifier"),
         F.when(F.col("c_nationkey") < 5, F.col("c_nationkey")).alias("max_replies_per_comment"),
-        F.when(F.col("c_acctbal") < 0, F.lit("playlist")).alias("video_discovery_mode"))).alias("value")).write.text(path)
+        F.when(F.col("c_acctbal") < 0, F.lit("playlist")).alias("video_discovery_mode"),
+        F.when(F.col("c_acctbal") > 9000, F.col("c_custkey")).alias("max_videos"))).alias("value")).write.text(path)
     listed = landing.read_channel_options(t.spark, path, {
-        "max_replies_per_comment": "int", "video_discovery_mode": "string"})
-    return usage.resolve_options(listed.select("identifier"), listed, {"max_comment_videos": 50})
+        "max_replies_per_comment": "int", "video_discovery_mode": "string", "max_videos": "bigint"})
+    return usage.resolve_options(listed.select("identifier"), listed, {"max_comment_videos": 50}, {"fetch_comments": False})
 
 
 def landed_items(t: DriverTables):

@@ -211,7 +211,7 @@ COMMENT_THREADS = f"""
                  generate_subscripts(string_split(text, chr(10)), 1) as spot from documents)
     where spot <= 1 + {MAX_REPLIES}"""
 
-# Comments stored so far: the labelled documents of each source, up to the first five hundred labels.
+# Comments stored so far: the documents of each source that are labelled toxic, English ones apart.
 SEEN = """
     select d.source as video_id, timestamp '2024-01-01 00:00:00' + d.doc_id * interval '1' minute as published_at
     from documents d join labels l on d.doc_id = l.doc_id where l.toxic = 1 and d.lang <> 'en'"""
@@ -520,13 +520,15 @@ def channel_options(t: DriverTables):
     listed = t["customer"].select(
         F.col("c_name").alias("identifier"),
         F.when(F.col("c_nationkey") < 5, F.col("c_nationkey")).alias("max_replies_per_comment"),
-        F.when(F.col("c_acctbal") < 0, F.lit("playlist")).alias("video_discovery_mode"))
+        F.when(F.col("c_acctbal") < 0, F.lit("playlist")).alias("video_discovery_mode"),
+        F.when(F.col("c_acctbal") > 9000, F.col("c_custkey")).alias("max_videos"))
     wanted = t["customer"].select(F.col("c_name").alias("identifier"))
-    return usage.resolve_options(wanted, listed, {"max_comment_videos": 50})
+    return usage.resolve_options(wanted, listed, {"max_comment_videos": 50}, {"fetch_comments": False})
 
 
 CHANNEL_OPTIONS = """
-    select c_name as identifier, 100 as max_comments_per_video,
+    select c_name as identifier, false as fetch_comments, case when c_acctbal > 9000 then c_custkey end as max_videos,
+           cast(null as bigint) as max_video_age_days, 100 as max_comments_per_video,
            case when c_nationkey < 5 then c_nationkey else 10 end as max_replies_per_comment, 50 as max_comment_videos,
            10 as min_new_comments, 6 as stats_update_hours,
            case when c_acctbal < 0 then 'playlist' else 'auto' end as video_discovery_mode, 5 as comment_workers
