@@ -1,7 +1,7 @@
 """Time the registered queries and print one JSON line.
 
 Folder from BENCH_SF_DIR, threads from BENCH_CPUS. Each query runs once to warm up and then
-BENCH_RUNS times (default 3), every row being produced and thrown away; the median counts.
+BENCH_RUNS times (default 2), every row being produced and thrown away; the median counts.
 The headline queries run by default; `all`, or names that queries start with, choose others.
 """
 
@@ -34,7 +34,7 @@ def seconds(spark, build, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = build_session("bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
         "spark.ui.showConsoleProgress": "false"})
