@@ -240,25 +240,25 @@ class Report:
 
 
 REPORTS: dict[str, Report] = {
-    "summary": Report("Overall database summary", summary,
+    "summary": Report("Row counts and the span of the snapshots", summary,
                       ("channels", "videos", "comments", "transcripts", "video_stats")),
-    "channels": Report("List all tracked channels with latest stats", channels, ("channels", "channel_stats")),
-    "growth": Report("Video view growth over last 7 days", growth, ("video_stats", "videos", "channels")),
-    "top-videos": Report("Top videos by current view count", top_videos, ("videos", "channels", "video_stats")),
-    "recent-uploads": Report("Most recent video uploads across all channels", recent_uploads,
+    "channels": Report("Channels with their newest statistics", channels, ("channels", "channel_stats")),
+    "growth": Report("Views gained per video within the window", growth, ("video_stats", "videos", "channels")),
+    "top-videos": Report("Most viewed videos by their newest snapshot", top_videos, ("videos", "channels", "video_stats")),
+    "recent-uploads": Report("Newest videos, with statistics where there are any", recent_uploads,
                              ("videos", "channels", "video_stats", "transcripts")),
-    "comment-velocity": Report("Videos with highest comment activity (last 7 days)", comment_velocity,
+    "comment-velocity": Report("Videos by comments published within the window", comment_velocity,
                                ("comments", "videos", "channels")),
-    "engagement-rate": Report("Videos by engagement rate (likes + comments / views)", engagement_rate,
+    "engagement-rate": Report("Likes and comments per hundred views", engagement_rate,
                               ("videos", "channels", "video_stats")),
-    "subscriber-growth": Report("Channel subscriber growth over time", subscriber_growth,
+    "subscriber-growth": Report("Highest subscriber count per channel and day", subscriber_growth,
                                 ("channel_stats", "channels")),
-    "transcript-coverage": Report("Transcript availability by channel", transcript_coverage,
+    "transcript-coverage": Report("Share of each channel's videos with a transcript", transcript_coverage,
                                   ("channels", "videos", "transcripts")),
-    "popular-commenters": Report("Most active commenters across all channels", popular_commenters, ("comments",)),
-    "video-length-performance": Report("Performance by video length buckets", video_length_performance,
+    "popular-commenters": Report("Commenters by number of comments", popular_commenters, ("comments",)),
+    "video-length-performance": Report("Average views and likes by length of video", video_length_performance,
                                        ("videos", "video_stats")),
-    "fetch-history": Report("Recent fetch operations log", fetch_history, ("fetch_log", "channels")),
+    "fetch-history": Report("Latest runs of the crawl", fetch_history, ("fetch_log", "channels")),
 }
 
 
