@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,10 +41,13 @@ def build_session(app_name: str = "snapstats", master: str | None = None,
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can read, named by the cluster in `spark.checkpoint.dir`.
 
-    Only a session without that setting (a local test run) gets a folder of its own.
+    A local session without that setting (a test run) gets a folder of its own, which is set for the
+    rest of the session. On a cluster a missing setting is an error: a folder of one machine would lose files.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
