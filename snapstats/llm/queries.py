@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.llm import line_dedup, quality_rules
+from snapstats.llm import line_dedup, minhash, quality_rules, secrets
 from snapstats.llm.common import documents
 
 
@@ -18,6 +18,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": lambda s, d: line_dedup.op1_line_dedup(documents(s, d)),
         "op3_quality_rules": lambda s, d: quality_rules.op3_quality_rules(documents(s, d), _labels(s, d)),
+        "op6_minhash": lambda s, d: minhash.op6_minhash(documents(s, d)),
+        "op8_secrets": lambda s, d: secrets.op8_secrets(documents(s, d)),
     }
 
 
