@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.llm import line_dedup, minhash, quality_rules, secrets, substring_dedup
+from snapstats.llm import line_dedup, minhash, quality_rules, secrets, substring_dedup, suffix_dedup
 from snapstats.llm.common import documents
 
 
@@ -17,6 +17,7 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": lambda s, d: line_dedup.op1_line_dedup(documents(s, d)),
+        "op2_suffix_dedup": lambda s, d: suffix_dedup.op2_suffix_dedup(documents(s, d)),
         "op3_quality_rules": lambda s, d: quality_rules.op3_quality_rules(documents(s, d), _labels(s, d)),
         "op4_substring_dedup": lambda s, d: substring_dedup.op4_substring_dedup(documents(s, d)),
         "op6_minhash": lambda s, d: minhash.op6_minhash(documents(s, d)),
