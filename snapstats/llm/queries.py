@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.llm import line_dedup, minhash, quality_rules, secrets, substring_dedup, suffix_dedup
+from snapstats.llm import bpe, line_dedup, minhash, quality_rules, secrets, substring_dedup, suffix_dedup
 from snapstats.llm.common import documents
 
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": lambda s, d: quality_rules.op3_quality_rules(documents(s, d), _labels(s, d)),
         "op4_substring_dedup": lambda s, d: substring_dedup.op4_substring_dedup(documents(s, d)),
         "op6_minhash": lambda s, d: minhash.op6_minhash(documents(s, d)),
+        "op7_bpe": lambda s, d: bpe.op7_bpe(documents(s, d)),
         "op8_secrets": lambda s, d: secrets.op8_secrets(documents(s, d)),
     }
 
