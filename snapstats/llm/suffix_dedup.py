@@ -129,9 +129,10 @@ def repeated_starts(scanned: DataFrame, threshold: int, gram: int) -> DataFrame:
 
     # Pass 3: the windows of open stretches to the full depth.
     windows = picked.select(*KEY, "_text", "_jobs").mapInArrow(rest, "w bigint, c bigint, o int")
-    groups = windows.groupBy("w").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("w")
+    # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
+    groups = stored(windows.groupBy("w").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("w"), "digit3")
     found = windows.join(groups, "w").groupBy("c").agg(F.collect_set("o").alias("offs"))
-    many = kinds.where("n > 1").select("c").distinct()
+    many = stored(kinds.where("n > 1").select("c").distinct(), "settled")
     inside = F.explode(F.transform("offs", lambda o: F.struct((F.col("lo") + o).alias("first"), (F.col("lo") + o).alias("last"))))
     place = held.join(many, "c", "left_semi").select(*KEY, F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")).alias("s"))
     single = held.join(many, "c", "left_anti").join(found, "c").select(*KEY, inside.alias("s"))
