@@ -45,17 +45,17 @@ def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", percen
                min_pages: int = MIN_PAGES) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`, and n_lines, n_dropped (bigint)."""
     found = boilerplate(docs, host, text, percent, min_pages)
-    lines = F.split(F.col(text), "\n")
+    lines = F.split(F.col("_text"), "\n")
     kept = F.filter(lines, lambda line: ~(line.rlike(HAS_WORD) & F.array_contains(F.col("_boiler"), _line_id(line))))
-    return (
-        docs.withColumn("_site", F.col(host)).join(found, F.col("_site") == F.col("_host"), "left")
-        .withColumn("_kept", F.when(F.col("_boiler").isNotNull(), kept))
-        .withColumns({
-            "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
-            "n_dropped": F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint"),
-            text: F.coalesce(F.array_join("_kept", "\n"), F.col(text))})
-        .drop("_site", "_host", "_boiler", "_kept")
-    )
+    made = (
+        docs.select(F.struct("*").alias("_row"), F.col(host).alias("_site"), F.col(text).alias("_text"))
+        .join(found, F.col("_site") == F.col("_host"), "left")
+        .withColumn("_kept", F.when(F.col("_boiler").isNotNull(), kept)))
+    others = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
+    return made.select(
+        *others, F.coalesce(F.array_join("_kept", "\n"), F.col("_text")).alias(text),
+        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
 def oracle(percent: int = BOILERPLATE_PERCENT, min_pages: int = MIN_PAGES) -> str:

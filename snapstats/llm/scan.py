@@ -15,8 +15,11 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, U), np.ones(1, U)]
 
-IS_SPACE = np.zeros(256, bool)
-IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Bytes of a word: all but white space, or letters and digits with every byte of a character beyond ASCII.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
+ALPHANUMERIC = np.zeros(256, bool)
+ALPHANUMERIC[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,12 +60,12 @@ def byte_values(data: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Maximal runs of non-space bytes: start, end (byte positions), hash, offsets of each text's words."""
+    """Maximal runs of word bytes: start, end (byte positions), hash, offsets of each text's words."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, word_bytes: np.ndarray = NOT_SPACE):
         if lower:
             data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-        inside = ~IS_SPACE[data]
+        inside = word_bytes[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
         first, last = inside.copy(), inside.copy()
