@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm import scan
-from snapstats.llm.common import row_key, stored, text_pieces
+from snapstats.llm.common import row_key, ship, stored, text_pieces
 from snapstats.llm.pretokens import PreTokens
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -134,7 +134,7 @@ def hot_words(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
 def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rank_path: str | None = None, most_hot: int = HOT_WORDS) -> DataFrame:
     """(id, ids array<int>): one row per row of `docs`."""
     spark, ranks = docs.sparkSession, read_ranks(rank_path)
-    body = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
+    body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
     words = stored(word_ids(distinct_words(body.select("_text")), ranks), "words")
     hot = spark.sparkContext.broadcast(HotWords(hot_words(words, most_hot).select("word", "ids").toArrow()))
 
@@ -222,7 +222,7 @@ def _id_pieces(batches: Iterator[pa.RecordBatch], size: int = 500_000) -> Iterat
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", rank_path: str | None = None) -> DataFrame:
     """(id, decoded binary) of rows (id, ids)."""
-    table = encoded.sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
+    table = ship(encoded).sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, ids, offsets in _id_pieces(batches):
@@ -237,7 +237,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", rank_path: str | None = N
 
 def digests(encoded: DataFrame, rank_path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of rows (doc_id, ids), decoded on the way."""
-    table = encoded.sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
+    table = ship(encoded).sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decimal = [str(i) for i in range(len(table.value.size))]

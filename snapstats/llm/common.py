@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +25,29 @@ BROADCAST_ROWS = 1_000_000
 PIECE_BYTES = 2_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """Send this package's code to the executors once per application, as `--py-files` would, and return `df`.
+
+    Spark serves the archive from the driver; nothing else reads it from there.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="code-")), "snapstats-code.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(top)))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm import scan
-from snapstats.llm.common import hinted, row_key, stored, text_pieces
+from snapstats.llm.common import hinted, row_key, ship, stored, text_pieces
 
 TOLERANCE_PERCENT = 15
 GRAM = 4
@@ -159,7 +159,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(_id, _th, id, item_id, distance, start, end): matched items per row of `docs`; places in code points, end exclusive."""
     items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null")
     blocks = max(1, -(-items.count() // block))
-    body = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
+    body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
     schema = "_doc bigint, _id bigint, _th bigint, item_id bigint, distance int, start int, end int"
     found = None
     for k in range(blocks):

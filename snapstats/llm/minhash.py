@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm import scan
-from snapstats.llm.common import hinted, stored, text_pieces
+from snapstats.llm.common import hinted, ship, stored, text_pieces
 from snapstats.llm.components import components
 
 SHINGLE = 5
@@ -160,7 +160,7 @@ def _links(body: DataFrame, classes: DataFrame, percent: int) -> list[DataFrame]
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id (smallest id reachable), kept."""
-    body = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"))
+    body = ship(docs).select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"))
     rows = stored(body.mapInArrow(_class_rows, "_id bigint, _n bigint, _d1 bigint, _d2 bigint, _keys array<bigint>"), "sets")
     named = rows.where("_n > 0 and _id is not null")
     first = named.groupBy("_d1", "_d2").agg(F.min("_id").alias("_c"))

@@ -41,7 +41,7 @@ def _char_values() -> np.ndarray:
 
 
 class PreTokens:
-    """start, end (byte positions), hash and offsets by text of all pre-tokens."""
+    """start, end (byte positions), hash, length in code points, and offsets by text of all pre-tokens."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
@@ -49,7 +49,7 @@ class PreTokens:
         lead = np.flatnonzero((data & 0xC0) != 0x80) if n != len(data) else np.arange(n)
         doc_at = np.searchsorted(lead, offsets) if n != len(data) else offsets
         if not n:
-            self.start = self.end = np.zeros(0, np.int64)
+            self.start = self.end = self.points = np.zeros(0, np.int64)
             self.hash = np.zeros(0, np.uint64)
             self.offsets = np.zeros(len(offsets), np.int64)
             return
@@ -86,5 +86,5 @@ class PreTokens:
         sums = scan.running(_char_values()[points])
         self.hash = scan.spans_hash(sums, first, final)
         bytes_at = np.append(lead, len(data))
-        self.start, self.end = bytes_at[first], bytes_at[final]
+        self.start, self.end, self.points = bytes_at[first], bytes_at[final], final - first
         self.offsets = np.searchsorted(first, doc_at)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.llm import bpe, decontaminate, line_dedup, minhash, quality_rules, secrets, substring_dedup, suffix_dedup
+from snapstats.llm import bpe, decontaminate, line_dedup, minhash, nbsvm, quality_rules, secrets, substring_dedup, suffix_dedup, token_counts
 from snapstats.llm.common import documents
 
 
@@ -20,10 +20,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": lambda s, d: suffix_dedup.op2_suffix_dedup(documents(s, d)),
         "op3_quality_rules": lambda s, d: quality_rules.op3_quality_rules(documents(s, d), spark_table(s, d, "labels")),
         "op4_substring_dedup": lambda s, d: substring_dedup.op4_substring_dedup(documents(s, d)),
+        "op5_token_counts": lambda s, d: token_counts.op5_token_counts(documents(s, d)),
         "op6_minhash": lambda s, d: minhash.op6_minhash(documents(s, d)),
         "op7_bpe": lambda s, d: bpe.op7_bpe(documents(s, d)),
         "op8_secrets": lambda s, d: secrets.op8_secrets(documents(s, d)),
         "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(documents(s, d), spark_table(s, d, "benchmark")),
+        "op10_quality": lambda s, d: nbsvm.op10_quality(documents(s, d), spark_table(s, d, "labels")),
     }
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm.automaton import Automaton
-from snapstats.llm.common import text_pieces
+from snapstats.llm.common import ship, text_pieces
 
 
 class Rule(NamedTuple):
@@ -130,7 +130,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ru
             spans = [[{"start": a, "kind": kinds[k], "end": b} for a, k, b in found.get(d, ())] for d in range(rows.num_rows)]
             yield pa.RecordBatch.from_arrays([rows.column("_id"), pa.array(spans, pa.list_(span))], ["_id", "spans"])
 
-    picked = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    picked = ship(docs).select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     kind = picked.schema["_id"].dataType.simpleString()
     return (picked.mapInArrow(run, f"_id {kind}, spans array<struct<start:int,kind:string,end:int>>")
             .select(F.col("_id").alias(id_col), "spans"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from snapstats.llm import scan
 from snapstats.llm.bitmap import bitmap_of
-from snapstats.llm.common import hinted, stored, text_pieces
+from snapstats.llm.common import hinted, ship, stored, text_pieces
 
 WINDOW = 50
 KEY = ["_id", "_th"]
@@ -35,7 +35,7 @@ KEY = ["_id", "_th"]
 
 def _body(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     full = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id_col).cast("bigint").alias("_id"), full.alias("_text"), F.xxhash64(full).alias("_th"))
+    return ship(docs).select(F.col(id_col).cast("bigint").alias("_id"), full.alias("_text"), F.xxhash64(full).alias("_th"))
 
 
 def _info(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

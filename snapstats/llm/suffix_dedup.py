@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from snapstats.llm import scan
 from snapstats.llm.bitmap import bitmap_of
-from snapstats.llm.common import hinted, row_key, stored, text_pieces
+from snapstats.llm.common import hinted, row_key, ship, stored, text_pieces
 
 THRESHOLD = 400
 GRAM = 64
@@ -155,7 +155,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     """One row per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes, NULL if none was removed)."""
     gram = max(1, min(GRAM, threshold // 6))
     full = F.coalesce(F.col(text), F.lit(""))
-    body = docs.select(F.col(id_col).cast("bigint").alias("_doc"), full.alias("_text"), *row_key(F.col(id_col), F.col(text)))
+    body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), full.alias("_text"), *row_key(F.col(id_col), F.col(text)))
     info = stored(body.withColumn("_t2", F.xxhash64(F.lit(1), "_text")).mapInArrow(
         _info, "_doc bigint, _id bigint, _th bigint, _t2 bigint, _n bigint, _sha string"), "info")
     texts = info.where(F.col("_n") >= threshold).groupBy("_th", "_t2").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
