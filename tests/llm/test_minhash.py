@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from snapstats.llm import minhash
 from snapstats.llm.components import components
 
@@ -66,6 +68,29 @@ def test_whole_table(spark):
     assert got == want and any(not r[3] for r in got)
 
 
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(1000)}"
+        rows.append((i, " ".join(copy)))
+    check(spark, rows)
+
+
+def test_products_count_like_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(5, 50)).astype(np.uint64)) for _ in range(40)]
+    roots = rng.integers(0, 30, 40)
+    for left, right in ((np.arange(0, 20), np.arange(20, 40)), (np.arange(40),) * 2):
+        want = {(i, j) for x, i in enumerate(left) for y, j in enumerate(right) if roots[i] != roots[j] and (left is not right or x < y)
+                and 100 * len(np.intersect1d(sets[i], sets[j])) >= 40 * len(np.union1d(sets[i], sets[j]))}
+        assert set(minhash.similar(sets, roots, left, right, 40)) == want and want
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(50)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(30)]
