@@ -97,9 +97,17 @@ def _is_key(text: Column) -> Column:
 
 
 def count_label(count: Column) -> Column:
-    """`1.2M`, `34k` or the plain number; halves go to the even digit, as in binary formatting."""
+    """`1.2M`, `34k` or the plain number, rounded as the binary quotient is: what looks like a half in print may lie
+    just above or below it, and true halves go to the even digit."""
+    tenths, rest = F.floor(count / 100_000).cast("bigint"), count % 100_000
+    quotient = count / 1_000_000
+    # The fraction of the quotient in units of 2^-52 against the half it stands beside, both times 20.
+    fraction = ((quotient - F.floor(quotient)) * F.lit(float(1 << 52))).cast("bigint") * 20
+    half = F.floor((count % 1_000_000) / 50_000).cast("bigint") * (1 << 52)
+    up = F.when(rest != 50_000, rest > 50_000).when(fraction != half, fraction > half).otherwise(tenths % 2 == 1)
+    rounded = tenths + up.cast("bigint")
     return (
-        F.when(count >= 1_000_000, F.format_string("%.1fM", F.bround(count / 1_000_000, 1)))
+        F.when(count >= 1_000_000, F.format_string("%d.%dM", F.floor(rounded / 10), rounded % 10))
         .when(count >= 1_000, F.format_string("%.0fk", F.bround(count / 1_000, 0)))
         .otherwise(count.cast("string"))
     )

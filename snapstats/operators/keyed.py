@@ -11,8 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark cuts rank filters down before the shuffle up to this rank (its default threshold).
-RANK_PUSHDOWN_LIMIT = 1000
+# Slices of a key that are cut to the wanted rank on their own before the key is.
 SALTS = 64
 
 
@@ -30,16 +29,15 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
                 salt_by: Sequence[str], rank: str | None = None) -> DataFrame:
     """The first `n` rows of each key by `order`; `salt_by` are the columns that identify a row.
 
-    Up to `RANK_PUSHDOWN_LIMIT` each map task forwards at most `n` rows of a key. Beyond it a hot key
-    is first cut to `n` rows in each of `SALTS` slices, so the final sort sees at most `n * SALTS`.
+    A key is first cut to `n` rows in each of `SALTS` slices, so the final sort of a key sees at most
+    `n * SALTS` rows however many it has.
     """
     def cut(frame: DataFrame, by: Sequence[str], name: str) -> DataFrame:
         window = Window.partitionBy(*by).orderBy(*order)
         return frame.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
 
-    if n > RANK_PUSHDOWN_LIMIT:
-        df = df.withColumn("_slice", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
-        df = cut(df, [*keys, "_slice"], "_rank").drop("_slice", "_rank")
+    df = df.withColumn("_slice", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)))
+    df = cut(df, [*keys, "_slice"], "_rank").drop("_slice", "_rank")
     ranked = cut(df, keys, rank or "_rank")
     return ranked if rank else ranked.drop("_rank")
 

@@ -73,12 +73,13 @@ def insert_stats(table: str, current: DataFrame, batch: DataFrame, order: Column
     return insert_ignore(current, _counts_filled(batch), PRIMARY_KEYS[table], order)
 
 
-def summary_after_stats(summary: DataFrame, batch: DataFrame) -> DataFrame:
+def summary_after_stats(summary: DataFrame, batch: DataFrame, whole_table: bool = False) -> DataFrame:
     """Comment summary with the listed count and time of each video's latest row in the batch."""
     latest = latest_per_key(_counts_filled(batch), ["video_id"], "fetched_at", ["comment_count"]).select(
         "video_id", F.lit(0).cast("bigint").alias("stored_comment_count"),
         F.col("comment_count").alias("latest_youtube_comment_count"), F.col("fetched_at").alias("last_stats_fetch"))
-    return merge_by_key(summary, latest, ["video_id"], ["latest_youtube_comment_count", "last_stats_fetch"])
+    return merge_by_key(summary, latest, ["video_id"], ["latest_youtube_comment_count", "last_stats_fetch"],
+                        whole_table=whole_table)
 
 
 # --- comments and transcripts ---------------------------------------------------------------------

@@ -229,9 +229,9 @@ def recent_only(videos: DataFrame, days: int, as_of: AsOf = None, column: str =
 def resolve_channels(identifiers: DataFrame, channels: DataFrame) -> DataFrame:
     """Channel id per identifier: the exact id, else the smallest id whose handle or title contains it.
 
-    Containment is settled without comparing every pair: each needle is looked up by one of its
-    letter groups (three letters, or all of a shorter needle), the rarest among the channels, and only
-    the channels sharing that group are checked. The case of plain letters does not matter.
+    Containment is settled without comparing pairs: the parts of every text that are as long as some needle are
+    joined with the needles and reduced to the smallest id before they meet an identifier, so the work is linear in the
+    texts. The case of plain letters does not matter.
     """
     wanted = identifiers.select(F.col("identifier").cast("string").alias("identifier")).distinct()
     keyed = channels.select("channel_id", F.col("channel_id").cast("string").alias("identifier"))
@@ -247,19 +247,16 @@ def resolve_channels(identifiers: DataFrame, channels: DataFrame) -> DataFrame:
     anything = needles.filter(F.col("needle") == "").select("identifier")
     needles = needles.filter(F.col("needle") != "")
 
-    grams = needles.select("identifier", "needle", F.explode(_letter_groups(F.col("needle"))).alias("_gram"))
-    text_grams = texts.select("channel_id", "_text", F.explode(_letter_groups(F.col("_text"), shorter=True)).alias("_gram"))
-    text_grams = text_grams.join(grams.select("_gram").distinct(), "_gram", "left_semi")
-    common = text_grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    # A group no channel has sorts first and proves that nothing matches.
-    chosen = (
-        grams.join(common, "_gram", "left")
-        .groupBy("identifier", "needle")
-        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram"))["_gram"].alias("_gram"))
-    )
+    # Containing a needle is having a part of its length that equals it, so only parts of those lengths are looked at.
+    lengths = needles.agg(F.coalesce(F.collect_set(F.length("needle")), F.array().cast("array<int>"))).scalar()
+    parts = F.flatten(F.transform(F.filter(F.col("_lengths"), lambda n: n <= F.length("_text")), lambda n: F.transform(
+        F.sequence(F.lit(1), F.length("_text") - n + 1), lambda i: F.substring(F.col("_text"), i, n))))
     contained = (
-        text_grams.join(chosen, "_gram").filter(F.col("_text").contains(F.col("needle")))
-        .groupBy("identifier").agg(F.min("channel_id").alias("channel_id"))
+        texts.select("channel_id", "_text", lengths.alias("_lengths"))
+        .select("channel_id", F.explode(F.array_distinct(parts)).alias("needle"))
+        .join(needles.select("needle").distinct(), "needle", "left_semi")
+        .groupBy("needle").agg(F.min("channel_id").alias("channel_id"))
+        .join(needles, "needle").select("identifier", "channel_id")
     )
     smallest = texts.agg(F.min("channel_id").alias("channel_id")).scalar()
     found = (
@@ -269,17 +266,6 @@ def resolve_channels(identifiers: DataFrame, channels: DataFrame) -> DataFrame:
     return wanted.join(found, "identifier", "left").select("identifier", "channel_id")
 
 
-def _letter_groups(text: Column, shorter: bool = False) -> Column:
-    """Distinct runs of three letters (the whole text when shorter); `shorter` adds the runs of one and two."""
-    def runs(size: int) -> Column:
-        last = F.length(text) - (size - 1)
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-                                             lambda i: F.substring(text, i, size))
-                      ).otherwise(F.array().cast("array<string>"))
-    if shorter:
-        return F.array_distinct(F.concat(runs(1), runs(2), runs(3)))
-    return F.when(F.length(text) < 3, F.array(text)).otherwise(F.array_distinct(runs(3)))
-
 
 def dry_run(remote: DataFrame, videos: DataFrame, transcripts: DataFrame, summary: DataFrame,
             quota_remaining: int, as_of: AsOf = None, max_videos: int | None = None,

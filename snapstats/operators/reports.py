@@ -20,8 +20,6 @@ Tables = Mapping[str, DataFrame]
 # Report labels and their upper bounds in seconds (fixed values, in reading order).
 LENGTH_BUCKETS = [("< 1 min", 60), ("1-5 min", 300), ("5-10 min", 600), ("10-20 min", 1200), ("20-60 min", 3600)]
 LAST_BUCKET = "60+ min"
-# A list of at most so many ids may be sent to every executor.
-BROADCAST_ROWS = 100_000
 
 
 def latest_video_stats(tables: Tables, *columns: str) -> DataFrame:
@@ -102,7 +100,7 @@ def recent_uploads(tables: Tables, as_of: AsOf = None, limit: int = 50) -> DataF
     """Newest videos with their latest statistics, whether or not they have any.
 
     The statistics and transcripts add columns but never rows, so the list is cut first and the large
-    tables are only filtered by its ids, broadcast as long as `limit` keeps them few.
+    tables are only filtered by its ids.
     """
     order = [F.desc_nulls_last("published_at"), F.asc("video_id")]
     recent = (
@@ -110,8 +108,6 @@ def recent_uploads(tables: Tables, as_of: AsOf = None, limit: int = 50) -> DataF
         .join(_channel_titles(tables), "channel_id").orderBy(*order).limit(limit)
     )
     ids = recent.select("video_id")
-    if limit <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
     stats = latest_per_key(tables["video_stats"].join(ids, "video_id", "left_semi"), ["video_id"], "fetched_at",
                            ["view_count", "like_count"]).drop("fetched_at")
     spoken = (tables["transcripts"].select("video_id").join(ids, "video_id", "left_semi").distinct()

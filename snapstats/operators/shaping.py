@@ -26,9 +26,9 @@ def parsed(raw: DataFrame, payload: str, column: str = "json") -> DataFrame:
 
 
 def thumbnail(snippet: Column) -> Column:
-    """Large picture, else the default one, else NULL."""
+    """Address of the large picture if there is one, else of the default one; NULL where that has none."""
     pictures = snippet["thumbnails"]
-    return F.coalesce(pictures["high"]["url"], pictures["default"]["url"])
+    return F.when(pictures["high"].isNotNull(), pictures["high"]["url"]).otherwise(pictures["default"]["url"])
 
 
 def _list(items: Column) -> Column:

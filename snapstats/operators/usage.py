@@ -27,7 +27,6 @@ WARN_SHARE = 0.8
 ABORT_SHARE = 0.95
 IDS_PER_CALL = 50
 COMMENTS_PER_CALL = 100
-NO_VIDEO_LIMIT = 99_999
 
 # Options a channel entry may set, with the value used when nothing else does.
 CHANNEL_OPTIONS = {
@@ -65,8 +64,8 @@ def channel_cost(videos: Column, fetch_comments: bool = True, max_comments_per_v
 
 def estimate_channel_costs(channels: DataFrame, max_videos: int | None = None, fetch_comments: bool = True,
                            max_comments_per_video: int = 100) -> DataFrame:
-    """Cost estimate per channel from its video count, held to `max_videos`."""
-    videos = F.least(F.col("video_count"), F.lit(max_videos or NO_VIDEO_LIMIT).cast("bigint"))
+    """Cost estimate per channel from its video count, held to `max_videos` if that is given."""
+    videos = F.least(F.col("video_count"), F.lit(max_videos).cast("bigint")) if max_videos else F.col("video_count")
     cost = channel_cost(videos, fetch_comments, max_comments_per_video)
     return channels.select("channel_id", *[value.alias(name.replace(".", "_")) for name, value in cost.items()])
 

@@ -30,9 +30,12 @@ def channels(t: DriverTables):
 
 
 CHANNELS = """
-    select c.title, c.channel_id, s.subscriber_count, s.view_count, s.video_count, s.fetched_at as last_updated
-    from channels c join channel_stats s on c.channel_id = s.channel_id
-    where s.fetched_at = (select max(fetched_at) from channel_stats x where x.channel_id = c.channel_id)"""
+    with newest as (
+        select channel_id, unnest(max(struct_pack(last_updated := fetched_at, subscriber_count := subscriber_count,
+                                                  view_count := view_count, video_count := video_count)))
+        from channel_stats group by channel_id)
+    select title, channel_id, subscriber_count, view_count, video_count, last_updated
+    from newest natural join (select channel_id, title from channels)"""
 
 
 def growth(t: DriverTables):
@@ -59,12 +62,16 @@ def top_videos(t: DriverTables):
 
 
 TOP_VIDEOS = """
-    select title, channel, view_count, like_count, comment_count, published_at, duration_mins from (
-        select v.video_id, v.title, c.title as channel, s.view_count, s.like_count, s.comment_count, v.published_at,
-               v.duration_seconds // 60 as duration_mins
-        from videos v join channels c on v.channel_id = c.channel_id join video_stats s on v.video_id = s.video_id
-        where s.fetched_at = (select max(fetched_at) from video_stats x where x.video_id = v.video_id)
-        order by s.view_count desc nulls last, v.video_id limit 50)"""
+    with newest as (
+        select video_id, arg_max(view_count, fetched_at) as view_count, arg_max(like_count, fetched_at) as like_count,
+               arg_max(comment_count, fetched_at) as comment_count
+        from video_stats group by video_id),
+    owned as (
+        select video_id, v.title, v.published_at, duration_seconds // 60 as duration_mins, owner.title as channel
+        from channels owner join videos v on owner.channel_id = v.channel_id),
+    best as (
+        select *, row_number() over (order by view_count desc nulls last, video_id) as place from newest join owned using (video_id))
+    select title, channel, view_count, like_count, comment_count, published_at, duration_mins from best where place <= 50"""
 
 
 def recent_uploads(t: DriverTables):
@@ -87,13 +94,14 @@ def comment_velocity(t: DriverTables):
 
 
 COMMENT_VELOCITY = f"""
-    select title, channel, new_comments_7d, comments_per_day, published_at from (
-        select v.video_id, v.title, c.title as channel, count(*) as new_comments_7d,
-               round(count(*) / 7.0::double, 1) as comments_per_day, v.published_at
-        from comments m join videos v on m.video_id = v.video_id join channels c on v.channel_id = c.channel_id
-        where m.published_at >= timestamp '{EVENTS_AS_OF}' - interval 7 day
-        group by v.video_id, v.title, c.title, v.published_at
-        order by new_comments_7d desc, v.video_id limit 30)"""
+    with talk as (
+        select video_id, count(*) as new_comments_7d from comments
+        where date_diff('microsecond', published_at, timestamp '{EVENTS_AS_OF}') <= 7 * 86400000000::bigint group by video_id),
+    placed as (
+        select talk.*, title, published_at, (select o.title from channels o where o.channel_id = v.channel_id) as channel
+        from talk join videos v using (video_id) where v.channel_id in (select channel_id from channels))
+    select title, channel, new_comments_7d, round(new_comments_7d / 7.0::double, 1) as comments_per_day, published_at
+    from placed qualify row_number() over (order by new_comments_7d desc, video_id) <= 30"""
 
 
 def engagement_rate(t: DriverTables):
@@ -116,10 +124,10 @@ def subscriber_growth(t: DriverTables):
 
 
 SUBSCRIBER_GROWTH = f"""
-    select c.title as channel, cast(s.fetched_at as date) as day, max(s.subscriber_count) as subscribers
-    from channel_stats s join channels c on s.channel_id = c.channel_id
-    where s.fetched_at >= timestamp '{EVENTS_AS_OF}' - interval 30 day
-    group by c.channel_id, c.title, cast(s.fetched_at as date)"""
+    with days as (
+        select channel_id, fetched_at::date as day, max(subscriber_count) as subscribers from channel_stats
+        where fetched_at - timestamp '{EVENTS_AS_OF}' >= interval '-30 days' group by all)
+    select title as channel, day, subscribers from channels join days using (channel_id)"""
 
 
 def transcript_coverage(t: DriverTables):
@@ -127,10 +135,12 @@ def transcript_coverage(t: DriverTables):
 
 
 TRANSCRIPT_COVERAGE = """
-    select c.title as channel, count(v.video_id) as total_videos, count(t.video_id) as with_transcript,
-           round(100.0::double * count(t.video_id) / greatest(count(v.video_id), 1), 1) as coverage_pct
-    from channels c join videos v on c.channel_id = v.channel_id left join transcripts t on v.video_id = t.video_id
-    group by c.channel_id, c.title"""
+    with flagged as (
+        select channel_id, video_id in (select video_id from transcripts) as spoken from videos),
+    counted as (
+        select channel_id, count(*) as total_videos, count(*) filter (where spoken) as with_transcript from flagged group by channel_id)
+    select title as channel, total_videos, with_transcript, round(100.0::double * with_transcript / total_videos, 1) as coverage_pct
+    from counted join channels using (channel_id)"""
 
 
 def popular_commenters(t: DriverTables):
@@ -138,12 +148,17 @@ def popular_commenters(t: DriverTables):
 
 
 POPULAR_COMMENTERS = """
-    select author_display_name, author_channel_id, count(*) as comment_count,
-           count(distinct video_id) as videos_commented, cast(sum(like_count) as bigint) as total_likes_received,
-           min(published_at) as first_comment, max(published_at) as last_comment
-    from comments where author_display_name is not null
-    group by author_display_name, author_channel_id having count(*) >= 5
-    order by comment_count desc, author_display_name, author_channel_id limit 50"""
+    with per_video as (
+        select author_channel_id, author_display_name, video_id, count(*) as n, sum(like_count) as likes,
+               min(published_at) as first_at, max(published_at) as last_at
+        from comments group by all),
+    authors as (
+        select author_channel_id, author_display_name, sum(n)::bigint as comment_count, count(video_id) as videos_commented,
+               sum(likes)::bigint as total_likes_received, min(first_at) as first_comment, max(last_at) as last_comment
+        from per_video where author_display_name is not null group by all)
+    select author_display_name, author_channel_id, comment_count, videos_commented, total_likes_received, first_comment, last_comment
+    from authors where comment_count > 4
+    qualify row_number() over (order by comment_count desc, author_display_name, author_channel_id) <= 50"""
 
 
 def video_length_performance(t: DriverTables):

@@ -422,7 +422,7 @@ def labels(t: DriverTables):
 
 LABELS = """
     select o_orderkey, n as subscribers,
-           case when n >= 1000000 then printf('%.1fM', round_even(n / 1000000, 1))
+           case when n >= 1000000 then format('{:.1f}M', n / 1000000.0::double)
                 when n >= 1000 then printf('%.0fk', round_even(n / 1000, 0)) else cast(n as varchar) end as label,
            case when o_custkey >= 1000 then printf('%.0fk', round_even(o_custkey / 1000, 0))
                 else cast(o_custkey as varchar) end as small_label

@@ -86,7 +86,8 @@ def test_identifiers(spark, rows):
 
 
 def test_labels_match_binary_formatting(spark):
-    values = [999, 1000, 1500, 2500, 34_499, 999_499, 1_250_000, 1_350_000, 12_345_678]
+    values = [999, 1000, 1500, 2500, 34_499, 999_499, 1_250_000, 1_350_000, 12_345_678, 2_450_000, 1_150_000, 1_750_000, 9_950_000,
+              *range(1_050_000, 40_000_000, 100_000), 123_456_789_050_000, 999_950_000]
     expected = [str(v) if v < 1000 else f"{v / 1e6:.1f}M" if v >= 1_000_000 else f"{v / 1e3:.0f}k" for v in values]
     assert evaluate(spark, values, "bigint", text.count_label) == expected
 
