@@ -18,6 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
     (summed before the shuffle) and one equi join on the node. Rounds are written to the shared folder.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if now.isEmpty():
+        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.common import WORD_SPLIT, hinted
+from snapstats.llm.common import WORD_SPLIT, hinted, row_key, stored
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -65,15 +65,14 @@ def log_ratios(raw: DataFrame, target: DataFrame) -> DataFrame:
     return rows.select(F.when(F.col("t") > 0, F.transform("b", ratio)).otherwise(F.array_repeat(F.lit(0.0), BUCKETS)).alias("ratios"))
 
 
-def quality_rules(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
-                  threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of `docs`: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept.
+VERDICTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
-    `trusted_ids` holds the ids of the target documents in its first column.
-    """
+
+def _judged(docs: DataFrame, trusted_ids: DataFrame, id_col: str, text: str, threshold: float) -> DataFrame:
+    """Every row of `docs` as `_row`, its id as `_id`, and its VERDICTS."""
     key = trusted_ids.columns[0]
     trusted = trusted_ids.select(F.col(key).alias("_tid")).where(F.col("_tid").isNotNull()).distinct()
-    body = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    body = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     target = body.join(hinted(trusted), F.col("_id") == F.col("_tid"), "left_semi")
     ratios = log_ratios(bucket_counts(body, "_text", "raw"), bucket_counts(target, "_text", "target"))
 
@@ -84,7 +83,7 @@ def quality_rules(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
         F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(WINDOW)))))
     counted = (
         body.select(
-            F.col("_id"), _hashed("_text").alias("_h"), lines.alias("_lines"),
+            "_row", "_id", _hashed("_text").alias("_h"), lines.alias("_lines"),
             F.length(F.regexp_replace(full, WORD_SPLIT, "")).cast("bigint").alias("word_chars"),
             (F.length(full) - F.length(F.regexp_replace(full, SYMBOLS, ""))).cast("bigint").alias("n_symbols"))
         .select("*", windows.alias("_w"))
@@ -99,7 +98,7 @@ def quality_rules(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
         F.transform(starts, lambda s, i: F.least(F.lit(WINDOW), F.coalesce(F.get(starts, i + 1) - s, F.lit(WINDOW)))),
         F.lit(0), lambda total, c: total + c)
     counted = counted.select(
-        "_id", "_h", F.size("_h").cast("bigint").alias("n_words"), "word_chars", "n_symbols",
+        "_row", "_id", "_h", F.size("_h").cast("bigint").alias("n_words"), "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         F.coalesce(cover, F.lit(0)).cast("bigint").alias("n_repeat_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
@@ -109,8 +108,25 @@ def quality_rules(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id
         counted.select("*", failed.alias("base_failed"), _buckets(F.col("_h")).alias("_b"), table.alias("_r"))
         .select("*", (F.aggregate(buckets, F.lit(0.0), lambda total, b: total + F.get(F.col("_r"), b))
                       / F.nullif(F.size(buckets), F.lit(0))).alias("score"))
-        .select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
-                (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept")))
+        .select("_row", "_id", *VERDICTS[:-1], (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept")))
+
+
+def quality_rules(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
+                  threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of `docs`: id and VERDICTS; `trusted_ids` holds the ids of the target documents in its first column."""
+    return _judged(docs, trusted_ids, id_col, text, threshold).select(F.col("_id").alias(id_col), *VERDICTS)
+
+
+def quality_filter(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text: str = "text",
+                   threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that are kept, unchanged."""
+    # Stored before it filters: a filter would be pushed below the columns it is made of, which would then be worked out
+    # anew inside every lambda.
+    judged = _judged(docs.select(id_col, text), trusted_ids, id_col, text, threshold)
+    marks = stored(judged.select(*row_key(F.col("_row")[id_col], F.col("_row")[text]), "kept"), "verdicts")
+    rejected = marks.where("not kept").select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
+    return (docs.select(F.struct("*").alias("_row"), *row_key(F.col(id_col), F.col(text)))
+            .join(hinted(rejected), (F.col("_id") == F.col("_bad_id")) & (F.col("_th") == F.col("_bad_th")), "left_anti").select("_row.*"))
 
 
 def op3_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
