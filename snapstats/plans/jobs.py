@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapstats.functions.timeutil import AsOf, moment
@@ -18,7 +17,7 @@ from snapstats.operators import maintenance, planning, shaping
 from snapstats.operators.keyed import first_per_key
 from snapstats.schemas import table_schema
 from snapstats.sources.landing import read_landing, readable
-from snapstats.sources.tables import append, load_catalog, point_at, qualified
+from snapstats.sources.tables import append, load_catalog, location_of, point_at, qualified
 
 
 @dataclass(frozen=True)
@@ -37,16 +36,30 @@ class Run:
         return self._kept(f"{self.folder}/{self.run_id}/staged/{name}", rows)
 
     def publish(self, name: str, rows: DataFrame) -> None:
-        location = f"{self.folder}/{self.run_id}/{name}"
-        self._kept(location, conform(name, rows))
-        point_at(self.spark, qualified(name, self.database), location)
+        """Write the table's next version and point the table at it, unless a later run has moved the table on.
+
+        The version a run starts from is noted before its own is written; a repeated run repoints only a table that
+        still stands there (or on the run's own version).
+        """
+        location, table = f"{self.folder}/{self.run_id}/{name}", qualified(name, self.database)
+        stands = location_of(self.spark, table)
+        note = self.spark.createDataFrame([(stands,)], "location string")
+        base = self._kept(f"{self.folder}/{self.run_id}/base/{name}", note).first()["location"]
+        if stands == base:
+            self._kept(location, conform(name, rows))
+            point_at(self.spark, table, location)
 
     def _kept(self, path: str, rows: DataFrame) -> DataFrame:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
+        """What an earlier attempt finished writing (it left its completion mark), else written now."""
+        if not finished(self.spark, path):
             rows.write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+        return self.spark.read.parquet(path)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to `path` ended: the committer's mark is its last file."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def conform(table: str, rows: DataFrame) -> DataFrame:

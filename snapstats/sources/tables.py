@@ -109,3 +109,9 @@ def point_at(spark: SparkSession, name: str, location: str) -> None:
     """Make a catalog table read the files of another folder."""
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
+
+
+def location_of(spark: SparkSession, name: str) -> str:
+    """Folder a catalog table reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]

@@ -197,3 +197,19 @@ def test_a_run_brings_every_table_up_to_date(spark, database, folder, rows):
             ("v", 3, 3), ("w", 0, 3)]
         assert table("chapters").isEmpty() and table("playlists").count() == 1
         assert table("channel_stats").count() == 2 and table("fetch_log").count() == 2
+    # An older run repeated does not bring its versions back.
+    apply_landing(first, {k: f"{folder}/landing-1/{k}" for k in ("channel", "video", "playlist", "comment_thread")})
+    assert rows(table("videos"), "video_id", "title") == [("v", "new"), ("w", "new")]
+
+
+def test_only_finished_stages_are_taken_up(spark, folder, rows):
+    import os
+
+    from snapstats.plans.jobs import Run
+
+    run, full = Run(spark, "r", folder), spark.range(100).repartition(4)
+    path = f"{folder}/r/staged/x"
+    full.limit(50).write.parquet(path)
+    os.remove(f"{path}/_SUCCESS")
+    assert run.staged("x", full).count() == 100
+    assert run.staged("x", full.limit(1)).count() == 100
