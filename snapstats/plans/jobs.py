@@ -7,7 +7,7 @@ versions in place and appends nothing twice.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +16,7 @@ from snapstats.functions.timeutil import AsOf, moment
 from snapstats.operators import maintenance, planning, shaping
 from snapstats.operators.keyed import first_per_key
 from snapstats.schemas import table_schema
-from snapstats.sources.landing import read_landing, readable
+from snapstats.sources.landing import CORRUPT, corrupt, read_landing, readable
 from snapstats.sources.tables import append, load_catalog, location_of, point_at, qualified
 
 
@@ -67,38 +67,50 @@ def conform(table: str, rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(table).fields])
 
 
+def _shaped(run: Run, landing: Mapping[str, str], kind: str, key: str, shape: Callable[[DataFrame], DataFrame], extra: str = "",
+            bad: list[str] | None = None) -> DataFrame:
+    """Rows with a key of one landing folder. Unreadable lines and rows without a key are set aside in the run's
+    folder, and `bad` gets a line that counts them."""
+    landed = read_landing(run.spark, landing[kind], kind, extra)
+    rows = shape(readable(landed))
+    lines = run.staged(f"quarantine/{kind}/lines", corrupt(landed).select(CORRUPT)).count()
+    keyless = run.staged(f"quarantine/{kind}/rows", shaping.rejected_rows(rows, key)).count()
+    if bad is not None and lines + keyless:
+        bad.append(f"{kind}: {lines} unreadable lines, {keyless} rows without a key")
+    return shaping.valid_rows(rows, key)
+
+
 def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10) -> DataFrame:
     """Bring the tables up to what lies in the landing folders, and log the run per channel.
 
     `landing` names a folder for any of channel, video, playlist (with channel_id) and comment_thread (with
-    video_id). Returns the log rows of the run.
+    video_id). Lines that cannot be read and rows without a key are set aside and counted in the log. Returns the log
+    rows of the run.
     """
     now = moment(run.as_of)
     videos = comments = None
+    bad: list[str] = []
     if "channel" in landing:
-        _apply_channels(run, landing["channel"], now)
+        _apply_channels(run, landing, now, bad)
     if "playlist" in landing:
-        items = readable(read_landing(run.spark, landing["playlist"], "playlist", "channel_id string"))
-        lists = shaping.valid_rows(shaping.playlist_rows(items), "playlist_id")
+        lists = _shaped(run, landing, "playlist", "playlist_id", shaping.playlist_rows, "channel_id string", bad)
         lists = run.staged("playlists", first_per_key(lists, ["playlist_id"], "item_count"))
         run.publish("playlists", maintenance.upsert_playlists(run.table("playlists"), lists, as_of=run.as_of))
     if "video" in landing:
-        items = readable(read_landing(run.spark, landing["video"], "video"))
-        shaped = shaping.valid_rows(shaping.video_rows(items), "video_id").withColumn("fetched_at", now)
+        shaped = _shaped(run, landing, "video", "video_id", shaping.video_rows, bad=bad).withColumn("fetched_at", now)
         videos = run.staged("videos", first_per_key(shaped, ["video_id"], F.struct("view_count", "title")))
         run.publish("videos", maintenance.upsert_videos(run.table("videos"), videos, as_of=run.as_of))
         run.publish("chapters", maintenance.replace_chapters(run.table("chapters"), shaping.chapter_rows(videos), videos))
     if "comment_thread" in landing:
-        items = readable(read_landing(run.spark, landing["comment_thread"], "comment_thread", "video_id string"))
-        shaped = shaping.valid_rows(shaping.comment_rows(items, max_replies), "comment_id").withColumn("fetched_at", now)
+        shaped = _shaped(run, landing, "comment_thread", "comment_id", lambda items: shaping.comment_rows(items, max_replies),
+                         "video_id string", bad).withColumn("fetched_at", now)
         comments = run.staged("comments", first_per_key(shaped, ["comment_id"], F.struct("published_at", "text")))
     _apply_counts(run, videos, comments)
-    return _log(run, videos, comments)
+    return _log(run, videos, comments, bad)
 
 
-def _apply_channels(run: Run, path: str, now) -> None:
-    items = readable(read_landing(run.spark, path, "channel"))
-    shaped = shaping.valid_rows(shaping.channel_rows(items), "channel_id").withColumn("fetched_at", now)
+def _apply_channels(run: Run, landing: Mapping[str, str], now, bad: list[str]) -> None:
+    shaped = _shaped(run, landing, "channel", "channel_id", shaping.channel_rows, bad=bad).withColumn("fetched_at", now)
     channels = run.staged("channels", first_per_key(shaped, ["channel_id"], F.struct("view_count", "title")))
     run.publish("channels", maintenance.upsert_channels(run.table("channels"), channels, as_of=run.as_of))
     stats = channels.select("channel_id", "fetched_at", "subscriber_count", "view_count", "video_count")
@@ -124,8 +136,8 @@ def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None
         append("comments", maintenance.new_comments(run.table("comments"), inserted), run.database)
 
 
-def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None) -> DataFrame:
-    """A completed log row per channel touched. Its id follows from the run and the channel."""
+def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None, bad: list[str]) -> DataFrame:
+    """A completed log row per channel touched, with what the run had to set aside. Its id follows from the run and the channel."""
     owners = run.table("videos").select("video_id", "channel_id")
     counts = []
     if videos is not None:
@@ -147,7 +159,7 @@ def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None) -> Data
 
     results = together.select(
         fetch_id, count("videos_fetched"), count("comments_fetched"), F.lit(0).cast("bigint").alias("transcripts_fetched"),
-        F.array().cast("array<string>").alias("errors"), F.lit("completed").alias("status"))
+        F.array(*map(F.lit, bad)).cast("array<string>").alias("errors"), F.lit("completed").alias("status"))
     log = maintenance.fetch_log_from_events(maintenance.open_runs(runs, run.as_of), maintenance.close_runs(results, run.as_of))
     log = run.staged("fetch_log", conform("fetch_log", log))
     append("fetch_log", maintenance.rows_missing(log, run.table("fetch_log"), ["fetch_id"]), run.database)

@@ -184,6 +184,8 @@ def test_a_run_brings_every_table_up_to_date(spark, database, folder, rows):
     assert rows(apply_landing(first, land(1, "old", 10, 2)), "fetch_type", "videos_fetched", "comments_fetched", "status") == [
         ("backfill", 2, 2, "completed")]
     assert rows(table("chapters"), "video_id", "title") == [("v", "Start"), ("w", "Start")]
+    assert "video: 1 unreadable lines, 0 rows without a key" in table("fetch_log").first()["errors"]
+    assert spark.read.parquet(f"{folder}/runs/run-1/staged/quarantine/video/lines").first()[0] == "{broken"
     second = Run(spark, "run-2", f"{folder}/runs", database, "2026-01-02 06:00:00")
     landing_2 = land(2, "new", 25, 3)
     for _ in range(2):  # the same run again changes nothing
