@@ -22,18 +22,18 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
-import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm import scan
-from snapstats.llm.common import row_key, ship, stored, text_pieces
+from snapstats.llm.common import packed, row_key, ship, stored, text_pieces, unpacked
 from snapstats.llm.pretokens import PreTokens
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
-HOT_WORDS = 1 << 20
+HOT_WORDS = 1 << 21
 # Distinct words a task holds before it hands its counts on.
-FLUSH_WORDS = 400_000
+FLUSH_WORDS = 200_000
 KEY = ["_id", "_th"]
 
 
@@ -75,32 +75,31 @@ def distinct_words(body: DataFrame) -> DataFrame:
 
 
 def word_ids(words: DataFrame, ranks: list[tuple[bytes, int]]) -> DataFrame:
-    """(word, n, ids): every distinct word encoded once."""
+    """(word, n, h, ids): every distinct word encoded once; h is its hash as PreTokens gives it."""
     table = words.sparkSession.sparkContext.broadcast(tuple(ranks))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoding(table.value)._encode_single_piece
         for batch in batches:
-            ids = [one(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
-    return words.mapInArrow(encode, "word binary, n bigint, ids array<int>")
+            own = batch.column("word").to_pylist()
+            ids = [one(w) for w in own]
+            hashes = PreTokens(np.frombuffer(b"".join(own), np.uint8), np.cumsum([0, *map(len, own)])).hash
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("n"), pa.array(hashes.view(np.int64)), pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "h", "ids"])
+    return words.mapInArrow(encode, "word binary, n bigint, h bigint, ids array<int>")
 
 
 class HotWords:
     """Ids of the frequent words by hash."""
 
     def __init__(self, rows: pa.Table):
-        words, ids = rows.column("word").to_pylist(), rows.column("ids").to_pylist()
-        ends = np.cumsum([0, *map(len, words)])
-        tokens = _as_pretokens(words, ends)
-        order = np.argsort(tokens)
-        counts = np.array([len(i) for i in ids], np.int64)
-        self.hash = tokens[order]
-        self.count = counts[order]
-        starts = np.cumsum(counts) - counts
-        flat = np.array([x for i in ids for x in i], np.int32)
-        self.ids = flat[scan.concat_ranges(starts[order], self.count)]
-        self.start = np.cumsum(self.count) - self.count
+        hashes = rows.column("h").to_numpy().view(np.uint64)
+        lists = rows.column("ids").combine_chunks()
+        ends = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int32)
+        order = np.argsort(hashes)
+        self.hash, self.count = hashes[order], np.diff(ends)[order]
+        self.ids = lists.values.to_numpy()[scan.concat_ranges(ends[:-1][order].astype(np.int64), self.count.astype(np.int64))] if len(lists) else np.zeros(0, np.int32)
+        self.start = (np.cumsum(self.count, dtype=np.int64) - self.count).astype(np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each hash, or -1."""
@@ -111,32 +110,27 @@ class HotWords:
         return np.where(self.hash[at] == seen, at, -1)[back]
 
 
-def _as_pretokens(words: list[bytes], ends: np.ndarray) -> np.ndarray:
-    """Hashes of whole words, as PreTokens would give them."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    return PreTokens(np.frombuffer(b"".join(words), np.uint8), ends).hash
-
-
-def hot_words(words: DataFrame, most: int = HOT_WORDS) -> DataFrame:
-    """The words of the highest counts, at most `most` of them: those above one count that a small histogram gives."""
+def split_hot(words: DataFrame, most: int = HOT_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The words of the highest counts, at most `most` of them, and the others: one count, which a small histogram gives, parts them."""
     level = F.floor(F.log2("n") * 4)
-    sizes = sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True)
     total, cut = 0, None
-    for row in sizes:
+    for row in sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True):
         total += row["count"]
         if total > most:
             break
         cut = row["level"]
-    return words.where(level >= cut if cut is not None else F.lit(False))
+    if cut is None:
+        return words.limit(0), words
+    return words.where(level >= cut), words.where(level < cut)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rank_path: str | None = None, most_hot: int = HOT_WORDS) -> DataFrame:
-    """(id, ids array<int>): one row per row of `docs`."""
+def _met(docs: DataFrame, id_col: str, text: str, rank_path: str | None, most_hot: int) -> tuple[DataFrame, Broadcast]:
+    """Every text, compressed, with the ids and positions of its rare words; and the table of the others."""
     spark, ranks = docs.sparkSession, read_ranks(rank_path)
     body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
     words = stored(word_ids(distinct_words(body.select("_text")), ranks), "words")
-    hot = spark.sparkContext.broadcast(HotWords(hot_words(words, most_hot).select("word", "ids").toArrow()))
+    frequent, others = split_hot(words, most_hot)
+    hot = spark.sparkContext.broadcast(HotWords(frequent.select("h", "ids").toArrow()))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(batches, "_text"):
@@ -148,48 +142,44 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rank_pat
                 [rows.column("_id").take(take), rows.column("_th").take(take), pa.array((at - p.offsets[doc]).astype(np.int32)),
                  pa.array([raw[a:b] for a, b in zip(p.start[at].tolist(), p.end[at].tolist())], pa.binary())], [*KEY, "at", "word"])
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(3)
-        for rows, data, offsets in text_pieces(batches, "_text"):
-            small = [squeeze.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([rows.column(c) for c in ("_doc", *KEY)] + [pa.array(small, pa.binary())], ["_doc", *KEY, "_z"])
-
-    tails = (body.mapInArrow(rare, "_id bigint, _th bigint, at int, word binary").join(words.select("word", "ids"), "word")
+    tails = (body.mapInArrow(rare, "_id bigint, _th bigint, at int, word binary").join(others.select("word", "ids"), "word")
              .groupBy(*KEY).agg(F.collect_list(F.struct("at", "ids")).alias("_tail")))
-    met = body.mapInArrow(packed, "_doc bigint, _id bigint, _th bigint, _z binary").join(tails, KEY, "left")
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widen = zstandard.ZstdDecompressor()
-        table = hot.value
-
-        def texts() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(0, batch.num_rows, 500):
-                    part = batch.slice(row, 500)
-                    whole = [widen.decompress(z).decode() for z in part.column("_z").to_pylist()]
-                    yield pa.RecordBatch.from_arrays([part.column("_doc"), part.column("_tail"), pa.array(whole, pa.large_string())], ["_doc", "_tail", "_text"])
-        for rows, data, offsets in text_pieces(texts(), "_text"):
-            p = PreTokens(data, offsets)
-            place = table.find(p.hash)
-            counts = np.where(place >= 0, table.count[place] if len(table.count) else 0, 0)
-            starts = np.where(place >= 0, table.start[place] if len(table.start) else 0, 0)
-            tail = rows.column("_tail")
-            values = tail.flatten()
-            own = values.field("ids")
-            sizes = np.diff(own.offsets.to_numpy())
-            doc = np.repeat(np.arange(rows.num_rows), np.diff(tail.offsets.to_numpy()))
-            at = p.offsets[doc] + values.field("at").to_numpy()
-            counts[at] = sizes
-            starts[at] = len(table.ids) + np.cumsum(sizes) - sizes
-            if (counts == 0).any():
-                raise ValueError("a word has no ids")
-            ids = np.concatenate([table.ids, own.flatten().to_numpy()])[scan.concat_ranges(starts, counts)] if len(counts) else np.zeros(0, np.int32)
-            ends = np.concatenate([[0], np.cumsum(counts)])[p.offsets]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("_doc"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))], ["_doc", "ids"])
+    none = F.array().cast("array<struct<at:int,ids:array<int>>>")
+    return packed(body).join(tails, KEY, "left").select("_doc", "_z", F.coalesce("_tail", none).alias("_tail")), hot
+
+
+def _assemble(batches: Iterator[pa.RecordBatch], table: HotWords) -> Iterator[pa.RecordBatch]:
+    """(_doc, ids) of texts that met their rare words."""
+    for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
+        p = PreTokens(data, offsets)
+        place = table.find(p.hash)
+        known = place >= 0
+        counts, starts = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        counts[known], starts[known] = table.count[place[known]], table.start[place[known]]
+        tail = rows.column("_tail")
+        values = tail.flatten()
+        own = values.field("ids")
+        sizes = np.diff(own.offsets.to_numpy())
+        doc = np.repeat(np.arange(rows.num_rows), np.diff(tail.offsets.to_numpy()))
+        at = p.offsets[doc] + values.field("at").to_numpy()
+        counts[at] = sizes
+        starts[at] = np.cumsum(sizes) - sizes
+        rare = np.zeros(len(place), bool)
+        rare[at] = True
+        if (counts == 0).any():
+            raise ValueError("a word has no ids")
+        ids = np.empty(int(counts.sum()), np.int32)
+        of_rare = np.repeat(rare, counts)
+        ids[~of_rare] = table.ids[scan.concat_ranges(starts[~rare], counts[~rare])]
+        ids[of_rare] = own.flatten().to_numpy()[scan.concat_ranges(starts[rare], counts[rare])]
+        ends = np.concatenate([[0], np.cumsum(counts)])[p.offsets]
+        yield pa.RecordBatch.from_arrays([rows.column("_doc"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))], ["_doc", "ids"])
 
-    return met.select("_doc", "_z", F.coalesce("_tail", F.array().cast("array<struct<at:int,ids:array<int>>>")).alias("_tail")).mapInArrow(
-        assemble, "_doc bigint, ids array<int>").select(F.col("_doc").alias(id_col), "ids")
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rank_path: str | None = None, most_hot: int = HOT_WORDS) -> DataFrame:
+    """(id, ids array<int>): one row per row of `docs`."""
+    met, hot = _met(docs, id_col, text, rank_path, most_hot)
+    return met.mapInArrow(lambda batches: _assemble(batches, hot.value), "_doc bigint, ids array<int>").select(F.col("_doc").alias(id_col), "ids")
 
 
 class TokenBytes:
@@ -235,23 +225,26 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", rank_path: str | None = N
             .select(F.col("_doc").alias(id_col), "decoded"))
 
 
-def digests(encoded: DataFrame, rank_path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of rows (doc_id, ids), decoded on the way."""
-    table = ship(encoded).sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rank_path: str | None = None, most_hot: int = HOT_WORDS,
+               keep_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every text encoded and its ids decoded, in one pass; with `keep_ids` also the ids."""
+    met, hot = _met(docs, id_col, text, rank_path, most_hot)
+    table = docs.sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(rank_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decimal = [str(i) for i in range(len(table.value.size))]
-        for rows, ids, offsets in _id_pieces(batches):
+        for rows, ids, offsets in _id_pieces(_assemble(batches, hot.value)):
             data, ends = table.value.decode(ids)
             ends = np.concatenate([[0], ends])[offsets]
             names = [decimal[i] for i in ids.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(np.diff(offsets), pa.int64()),
+                [rows.column("_doc"), pa.array(np.diff(offsets), pa.int64()),
                  pa.array([hashlib.sha256(",".join(names[a:b]).encode()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]),
-                 pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return encoded.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+                 pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:])])] + [rows.column("ids")] * keep_ids,
+                ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
+    extra = ", ids array<int>" if keep_ids else ""
+    return met.mapInArrow(run, f"_doc bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}").withColumnRenamed("_doc", id_col)
 
 
 def op7_bpe(docs: DataFrame) -> DataFrame:
-    return digests(encode(docs))
+    return round_trip(docs)
