@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapstats.llm.common import hinted, stored
+
 # A line on more than this share of a host's pages, and on at least so many of them, is boilerplate.
 BOILERPLATE_PERCENT = 5
 MIN_PAGES = 10
@@ -44,12 +46,14 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", perce
 def line_dedup(docs: DataFrame, host: str = "source", text: str = "text", percent: int = BOILERPLATE_PERCENT,
                min_pages: int = MIN_PAGES) -> DataFrame:
     """`docs` with boilerplate lines cut from `text`, and n_lines, n_dropped (bigint)."""
-    found = boilerplate(docs, host, text, percent, min_pages)
+    # Stored, so that its size is known: few lines are boilerplate, and then the texts need no shuffle by host.
+    found = stored(boilerplate(docs, host, text, percent, min_pages), "boilerplate")
+    size = found.agg(F.coalesce(F.sum(F.size("_boiler") + 1), F.lit(0))).first()[0]
     lines = F.split(F.col("_text"), "\n")
     kept = F.filter(lines, lambda line: ~(line.rlike(HAS_WORD) & F.array_contains(F.col("_boiler"), _line_id(line))))
     made = (
         docs.select(F.struct("*").alias("_row"), F.col(host).alias("_site"), F.col(text).alias("_text"))
-        .join(found, F.col("_site") == F.col("_host"), "left")
+        .join(hinted(found, size), F.col("_site") == F.col("_host"), "left")
         .withColumn("_kept", F.when(F.col("_boiler").isNotNull(), kept)))
     others = [F.col("_row")[c].alias(c) for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
     return made.select(
