@@ -7,7 +7,9 @@ sorted by hashed digits, in passes that drop every group of one, until the depth
     (Taken left to right, the first digits of natural text keep nearly all suffixes alive.) Minimisers seen once are dropped.
  2. The second digit is all the bytes of the run of neighbouring windows that share a minimiser, their stretch. A stretch that occurs
     twice settles all its windows at once; a minimiser with a single stretch needs no further pass.
- 3. The last digit is the rest of the window up to the threshold, for one copy of every stretch still open.
+ 3. Stretches still open are cut into strips of up to STRIP windows, at fixed places from the minimiser. The third digit of a strip is its core, the bytes
+    all its windows share: a core seen once ends the strip, none of its windows repeats. A whole strip that occurs twice settles all of them.
+ 4. The last digit is the rest of the window up to the threshold, for one copy of every strip that differs from another of its core.
 Each pass is an aggregation summed before the shuffle, so a string shared by a third of the corpus is one row per task. Whole copies
 are told by hash beforehand and only one of them is sorted.
 
@@ -28,10 +30,11 @@ from pyspark.sql import functions as F
 
 from snapstats.llm import scan
 from snapstats.llm.bitmap import bitmap_of
-from snapstats.llm.common import hinted, row_key, ship, stored, text_pieces
+from snapstats.llm.common import hinted, packed, row_key, ship, stored, text_pieces, unpacked
 
 THRESHOLD = 400
 GRAM = 64
+STRIP = 16
 KEY = ["_id", "_th"]
 _PLACE = np.uint64(0xFFFFFFFF)
 
@@ -56,7 +59,7 @@ class Stretches:
         sums = scan.running(scan.byte_values(data))
         if not len(at):
             self.gram = self.stretch = np.zeros(0, np.uint64)
-            self.lo = self.hi = self.doc = np.zeros(0, np.int64)
+            self.lo = self.hi = self.place = self.doc = np.zeros(0, np.int64)
             return
         _, down = scan.powers(len(data))
         n = len(data) - gram + 1
@@ -65,7 +68,7 @@ class Stretches:
         place = (least[at] & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
         self.lo, self.hi = at[first], at[np.append(first[1:], len(at)) - 1]
-        place = place[first]
+        self.place = place = place[first]
         self.gram = grams[place]
         shape = ((place - self.lo).astype(np.uint64) << np.uint64(32)) | (self.hi - self.lo).astype(np.uint64)
         self.stretch = scan.mix(scan.spans_hash(sums, self.lo, self.hi + threshold) + scan.mix(shape + np.uint64(1)))
@@ -84,7 +87,7 @@ def _info(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["_doc", "_id", "_th", "_t2", "_n", "_sha"])
 
 
-def repeated_starts(scanned: DataFrame, threshold: int, gram: int) -> DataFrame:
+def repeated_starts(scanned: DataFrame, threshold: int, gram: int, strip: int) -> DataFrame:
     """(_id, _th, spans): per text with repeats, intervals [first, last] of the starts of repeated windows."""
     spark = scanned.sparkSession
 
@@ -103,37 +106,70 @@ def repeated_starts(scanned: DataFrame, threshold: int, gram: int) -> DataFrame:
             base, take = offsets[s.doc[hit]], pa.array(s.doc[hit])
             yield pa.RecordBatch.from_arrays(
                 [_long(s.gram[hit]), _long(s.stretch[hit]), rows.column("_id").take(take), rows.column("_th").take(take),
-                 pa.array((s.lo[hit] - base).astype(np.int32)), pa.array((s.hi[hit] - base).astype(np.int32))], ["a", "c", *KEY, "lo", "hi"])
+                 *(pa.array((x[hit] - base).astype(np.int32)) for x in (s.lo, s.hi, s.place))], ["a", "c", *KEY, "lo", "hi", "place"])
 
     # Pass 2: stretches, and one holder of each.
-    held = stored(scanned.mapInArrow(stretches, "a bigint, c bigint, _id bigint, _th bigint, lo int, hi int"), "digit2")
+    held = stored(scanned.mapInArrow(stretches, "a bigint, c bigint, _id bigint, _th bigint, lo int, hi int, place int"), "digit2")
     kinds = stored(held.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_id")), "stretches")
     open_ = kinds.groupBy("a").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("a")
     still = kinds.join(open_, "a")
     # The first place of the stretch in the text of its smallest id.
-    holder = (held.join(still.select("a", "c", "_id"), ["a", "c", "_id"]).groupBy("a", "c", "_id").agg(F.min("_th").alias("_th"))
-              .join(held, ["a", "c", *KEY]).groupBy("a", "c", *KEY).agg(F.min("lo").alias("lo"), F.min(F.col("hi") - F.col("lo")).alias("size")))
-    jobs = stored(holder.groupBy(*KEY).agg(F.collect_list(F.struct("c", "lo", "size")).alias("_jobs")), "open")
-    picked = scanned.join(hinted(jobs, _listed(jobs, "_jobs")), KEY)
+    holder = (held.join(still.select("a", "c", "_id"), ["a", "c", "_id"])
+              .groupBy("a", "c").agg(F.min(F.struct("_id", "_th", "lo", "hi", "place")).alias("h")).select("a", "c", "h.*"))
+    jobs = stored(holder.groupBy(*KEY).agg(F.collect_list(F.struct("a", "c", "lo", "hi", "place")).alias("_jobs")), "open")
+
+    def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
+            sums = scan.running(scan.byte_values(data))
+            jobs, doc = _flat(rows.column("_jobs"))
+            lo, hi, place = (jobs[k] + offsets[doc] for k in ("lo", "hi", "place"))
+            first = (place - hi) // strip
+            count = (place - lo) // strip - first + 1
+            job = np.repeat(np.arange(len(lo)), count)
+            group = scan.concat_ranges(first, count)
+            top = place[job] - group * strip
+            a, b = np.maximum(lo[job], top - strip + 1), np.minimum(hi[job], top)
+            gram_of = jobs["a"].view(np.uint64)[job] + group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            core = scan.mix(scan.spans_hash(sums, top, top - strip + 1 + threshold) + scan.mix(gram_of))
+            shape = ((top - a).astype(np.uint64) << np.uint64(32)) | (top - b).astype(np.uint64)
+            whole = scan.mix(scan.spans_hash(sums, a, b + threshold) + scan.mix(shape + np.uint64(1)))
+            take = pa.array(doc[job])
+            yield pa.RecordBatch.from_arrays(
+                [_long(core), _long(whole), pa.array(jobs["c"][job]), rows.column("_id").take(take), rows.column("_th").take(take),
+                 pa.array((a - offsets[doc[job]]).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)), pa.array((a - lo[job]).astype(np.int32))],
+                ["core", "whole", "c", *KEY, "at", "n", "off"])
+
+    # Pass 3: strips by core, then whole.
+    picked = packed(scanned).join(jobs, KEY).select(*KEY, "_z", "_jobs")
+    cut = stored(picked.mapInArrow(strips, "core bigint, whole bigint, c bigint, _id bigint, _th bigint, at int, n int, off int"), "digit3")
+    strip_kinds = stored(cut.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("times"), F.min("c").alias("c")), "strips")
+    repeated_strips = stored(strip_kinds.where("times > 1").select("core", "whole"), "settled-strips")
+    settled = cut.join(repeated_strips, ["core", "whole"], "left_semi").select("c", F.col("off").alias("first"), (F.col("off") + F.col("n") - 1).alias("last"))
+    mixed = stored(strip_kinds.groupBy("core").agg(F.min("whole").alias("w1"), F.max("whole").alias("w2")).where("w1 <> w2").select("core"), "mixed")
+    # One copy of each strip that shares its core with a different one; only those that occur once still need an answer.
+    last = cut.join(strip_kinds.join(mixed, "core").select("core", "whole", "times", F.col("c").alias("rep")), ["core", "whole"]).where("c = rep")
+    tail = stored(last.groupBy(*KEY).agg(F.collect_list(F.struct("c", "at", "n", "off", (F.col("times") == 1).cast("int").alias("ask"))).alias("_jobs")), "open-strips")
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_pieces(batches, "_text"):
+        for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
             sums = scan.running(scan.byte_values(data))
             jobs, doc = _flat(rows.column("_jobs"))
-            lo = jobs["lo"] + offsets[doc]
-            at = scan.concat_ranges(lo, jobs["size"] + 1)
-            hashes = scan.spans_hash(sums, at, at + threshold)
-            job = np.repeat(np.arange(len(lo)), jobs["size"] + 1)
+            lo = jobs["at"] + offsets[doc]
+            at = scan.concat_ranges(lo, jobs["n"])
+            job = np.repeat(np.arange(len(lo)), jobs["n"])
             yield pa.RecordBatch.from_arrays(
-                [_long(hashes), pa.array(jobs["c"][job]), pa.array((at - lo[job]).astype(np.int32))], ["w", "c", "o"])
+                [_long(scan.spans_hash(sums, at, at + threshold)), pa.array(jobs["c"][job]), pa.array((at - lo[job] + jobs["off"][job]).astype(np.int32)),
+                 pa.array(jobs["ask"][job].astype(bool))], ["w", "c", "o", "ask"])
 
-    # Pass 3: the windows of open stretches to the full depth.
-    windows = picked.select(*KEY, "_text", "_jobs").mapInArrow(rest, "w bigint, c bigint, o int")
+    # Pass 4: the windows of mixed strips to the full depth.
+    ends = packed(scanned).join(tail, KEY).select(*KEY, "_z", "_jobs")
+    windows = stored(ends.mapInArrow(rest, "w bigint, c bigint, o int, ask boolean"), "windows")
     # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
-    groups = stored(windows.groupBy("w").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("w"), "digit3")
-    found = windows.join(groups, "w").groupBy("c").agg(F.collect_set("o").alias("offs"))
+    groups = stored(windows.groupBy("w").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("w"), "digit4")
+    single_windows = windows.where("ask").join(groups, "w", "left_semi").select("c", F.col("o").alias("first"), F.col("o").alias("last"))
+    found = stored(settled.unionByName(single_windows).groupBy("c").agg(F.collect_list(F.struct("first", "last")).alias("offs")), "found")
     many = stored(kinds.where("n > 1").select("c").distinct(), "settled")
-    inside = F.explode(F.transform("offs", lambda o: F.struct((F.col("lo") + o).alias("first"), (F.col("lo") + o).alias("last"))))
+    inside = F.explode(F.transform("offs", lambda o: F.struct((F.col("lo") + o["first"]).alias("first"), (F.col("lo") + o["last"]).alias("last"))))
     place = held.join(many, "c", "left_semi").select(*KEY, F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")).alias("s"))
     single = held.join(many, "c", "left_anti").join(found, "c").select(*KEY, inside.alias("s"))
     return place.unionByName(single).groupBy(*KEY).agg(F.collect_list("s").alias("_spans"))
@@ -147,13 +183,9 @@ def _flat(column: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
     return {k: v.astype(np.int64) for k, v in fields.items()}, np.repeat(np.arange(len(column)), counts)
 
 
-def _listed(df: DataFrame, column: str) -> int:
-    return df.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
-
-
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes, NULL if none was removed)."""
-    gram = max(1, min(GRAM, threshold // 6))
+    gram, strip = max(1, min(GRAM, threshold // 6)), max(1, min(STRIP, threshold // 4))
     full = F.coalesce(F.col(text), F.lit(""))
     body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), full.alias("_text"), *row_key(F.col(id_col), F.col(text)))
     info = stored(body.withColumn("_t2", F.xxhash64(F.lit(1), "_text")).mapInArrow(
@@ -162,11 +194,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     texts = stored(texts, "copied")
     later = stored(info.join(texts, ["_th", "_t2"]).where("_id > _first").select(*KEY).distinct(), "copies")
     scanned = body.select(*KEY, "_text").join(hinted(later), KEY, "left_anti")
-    spans = stored(repeated_starts(scanned, threshold, gram), "spans")
-    cut = body.select(*KEY, "_text").join(hinted(spans, _listed(spans, "_spans")), KEY)
+    spans = stored(repeated_starts(scanned, threshold, gram, strip), "spans")
+    cut = packed(body.select(*KEY, "_text")).join(spans, KEY).select(*KEY, "_z", "_spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_pieces(batches, "_text"):
+        for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
             spans, doc = _flat(rows.column("_spans"))
             bounds = np.searchsorted(doc, np.arange(rows.num_rows + 1))
             removed, runs, marks, kept = [], [], [], []
