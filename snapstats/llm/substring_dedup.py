@@ -106,7 +106,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                  pa.array((at - words.offsets[doc]).astype(np.int32))], ["w", "_id", "_th", "at"])
 
     windows = scanned.mapInArrow(extend, "w bigint, _id bigint, _th bigint, at int")
-    least = windows.groupBy("w").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "lo")
+    # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
+    least = stored(windows.groupBy("w").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "lo"), "least")
     gone = stored(windows.join(least, "w").where("_id > lo").groupBy(*KEY).agg(F.collect_set("at").alias("_at")), "gone")
     cut = body.join(hinted(gone.select(*KEY)), KEY, "left_semi").distinct().join(gone, KEY)
 
