@@ -161,10 +161,10 @@ def test_windows_reach_the_scan(spark, folder, kind):
 
 
 def test_hot_channel_needs_no_window_over_it(spark):
-    """The stop point of a listing is aggregated; only the cut listing meets the join."""
+    """The stop point of a listing is aggregated; the only windows are the two cuts, in slices of a channel and in the channel."""
     listing = spark.range(100).select((F.col("id") % 3).alias("channel_id"), F.col("id").alias("video_id"), F.col("id").alias("position"))
     plan = plan_of(planning.before_first_known(listing, spark.range(5).select(F.col("id").alias("video_id")), 10))
-    assert "WindowGroupLimit" in plan and plan.count("Window [") == 1
+    assert "WindowGroupLimit" in plan and plan.count("Window [") == 2 and "_slice" in plan
 
 
 def test_purge_reads_no_more_than_it_keeps(driver):
