@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from snapstats.llm import bpe, decontaminate, line_dedup, minhash, quality_rules
 from snapstats.llm.common import documents, stored
 
+# Similarity of the word shingles from which documents are near-duplicates; op6_minhash keeps its own 85.
+NEAR_PERCENT = 80
+
 # Several stages have no SQL form; tests compare run() with a plain Python version.
 ORACLE_SQL = None
 
@@ -27,8 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates."""
-    return minhash.dedup(docs)
+    """One document of every group of near-duplicates (similarity of NEAR_PERCENT and more)."""
+    return minhash.dedup(docs, percent=NEAR_PERCENT)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
