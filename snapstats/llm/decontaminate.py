@@ -4,7 +4,8 @@ Texts and items are sequences of lower-cased alphanumeric words. The CGK embeddi
 current word and moves on if a random bit of (j, word) says so; two windows at edit distance e fall into step again
 after about e^2 steps, so their embeddings are near in Hamming distance. SAMPLES coordinates of an embedding are a bucket
 key; REPEATS independent walks and samples bring the chance to meet an item within the tolerance over TARGET_RECALL (measured in
-the tests). Items are embedded by the windows at their two ends, texts by windows of the item's size class.
+the tests). Items are embedded by the windows at their two ends, texts by windows of the item's size class
+(shorter at the end of a text, by as many words as a leak may have lost).
 Every pair that meets in a bucket is verified by the exact edit distance of the whole item to the text around the window.
 
 A window within the tolerance shares GRAM consecutive words with the item (the matching words fall into at most e + 1 runs), so
@@ -47,8 +48,10 @@ def size_class(words: int) -> int:
     return int(CLASSES[np.searchsorted(CLASSES, words, "right") - 1])
 
 
-def bucket_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """REPEATS keys (columns) of the windows words[s:s + size]; the walk of up to 2 * size steps stays inside a window."""
+def bucket_keys(words: np.ndarray, starts: np.ndarray, size: int, ends: np.ndarray | None = None) -> np.ndarray:
+    """REPEATS keys (columns) of the windows words[s:s + size], cut off at `ends`; the walk of up to 2 * size steps stays
+    inside a window and reads the word 0 behind it."""
+    length = np.full(len(starts), size, np.int64) if ends is None else np.minimum(ends - starts, size)
     keys = np.empty((len(starts), REPEATS), np.uint64)
     steps = min(2 * size, _SEEDS.shape[1])
     for r in range(REPEATS):
@@ -56,7 +59,7 @@ def bucket_keys(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         at = np.zeros(len(starts), np.int64)
         key = np.full(len(starts), (r << 20) + size, np.uint64)
         for j in range(max(sampled) + 1):
-            word = np.where(at < size, words[starts + np.minimum(at, size - 1)], np.uint64(0))
+            word = np.where(at < length, words[starts + np.minimum(at, length - 1)], np.uint64(0))
             if j in sampled:
                 key = scan.mix(key * np.uint64(0x9E3779B97F4A7C15) + word)
             at += (scan.mix(word ^ _SEEDS[r, j]) & np.uint64(1)).astype(np.int64)
@@ -125,10 +128,11 @@ class Items:
             # Any window of the class that holds the shared run, and windows that begin in it.
             near = scan.covered(np.maximum(seeds - c - tolerance(2 * c), words.offsets[words.doc[seeds]]), c + tolerance(2 * c) + GRAM, len(words.start))
             starts = np.flatnonzero(near)
-            starts = starts[starts + c <= words.offsets[words.doc[starts] + 1]]
+            # A leak that has lost words may be shorter than the window and end with the text.
+            starts = starts[starts + c - tolerance(2 * c) <= words.offsets[words.doc[starts] + 1]]
             for piece in range(0, len(starts), 1 << 16):
                 part = starts[piece:piece + (1 << 16)]
-                keys = bucket_keys(words.hash, part, c)
+                keys = bucket_keys(words.hash, part, c, words.offsets[words.doc[part] + 1])
                 lo, hi = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
                 row, _ = np.nonzero(hi > lo)
                 lo, hi = lo[hi > lo], hi[hi > lo]
