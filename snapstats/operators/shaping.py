@@ -44,7 +44,7 @@ def rejected_rows(rows: DataFrame, key: str) -> DataFrame:
     return rows.filter(F.coalesce(F.col(key).cast("string"), F.lit("")) == "")
 
 
-def channel_rows(items: DataFrame) -> DataFrame:
+def channel_rows(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Channel items (column `item`) to metadata and counts."""
     item = F.col("item")
     snippet, counts = item["snippet"], item["statistics"]
@@ -57,7 +57,7 @@ def channel_rows(items: DataFrame) -> DataFrame:
         _list(item["topicDetails"]["topicCategories"]).alias("topic_categories"),
         item["contentDetails"]["relatedPlaylists"]["uploads"].alias("uploads_playlist_id"),
         count_or_zero(counts["subscriberCount"]).alias("subscriber_count"),
-        count_or_zero(counts["viewCount"]).alias("view_count"), count_or_zero(counts["videoCount"]).alias("video_count"),
+        count_or_zero(counts["viewCount"]).alias("view_count"), count_or_zero(counts["videoCount"]).alias("video_count"), *keep,
     )
 
 
@@ -84,7 +84,7 @@ def video_rows(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def playlist_rows(items: DataFrame) -> DataFrame:
+def playlist_rows(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Playlist items (columns `channel_id`, `item`) to rows."""
     item = F.col("item")
     snippet = item["snippet"]
@@ -92,7 +92,7 @@ def playlist_rows(items: DataFrame) -> DataFrame:
         item["id"].alias("playlist_id"), "channel_id", snippet["title"].alias("title"),
         snippet["description"].alias("description"), parse_timestamp(snippet["publishedAt"]).alias("published_at"),
         thumbnail(snippet).alias("thumbnail_url"), count_or_zero(item["contentDetails"]["itemCount"]).alias("item_count"),
-        item["status"]["privacyStatus"].alias("privacy_status"),
+        item["status"]["privacyStatus"].alias("privacy_status"), *keep,
     )
 
 

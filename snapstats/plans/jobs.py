@@ -3,6 +3,9 @@
 Each shaped batch is written to the run's folder before any table changes, so it is computed once and
 survives lost executors. A run repeated under the same id takes up those files, finds published
 versions in place and appends nothing twice.
+
+A landing may hold several crawls of one key. Their order is the time an item was fetched (its own `fetched_at`, else the
+run's time), then file and line: metadata folds by it, and every (key, fetched_at) is a snapshot.
 """
 
 from __future__ import annotations
@@ -14,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapstats.functions.timeutil import AsOf, moment
 from snapstats.operators import maintenance, planning, shaping
-from snapstats.operators.keyed import first_per_key
+from snapstats.operators.keyed import first_per_key, latest_per_key
 from snapstats.schemas import table_schema
-from snapstats.sources.landing import CORRUPT, corrupt, read_landing, readable
+from snapstats.sources.landing import CORRUPT, PLACE, corrupt, read_landing, readable
 from snapstats.sources.tables import append, load_catalog, location_of, point_at, qualified
 
 
@@ -67,17 +70,27 @@ def conform(table: str, rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(table).fields])
 
 
-def _shaped(run: Run, landing: Mapping[str, str], kind: str, key: str, shape: Callable[[DataFrame], DataFrame], extra: str = "",
+# Place of a row among the crawls of a landing.
+ORDER = "_order"
+
+
+def _shaped(run: Run, landing: Mapping[str, str], kind: str, key: str, shape: Callable[[DataFrame, list[str]], DataFrame], extra: str = "",
             bad: list[str] | None = None) -> DataFrame:
-    """Rows with a key of one landing folder. Unreadable lines and rows without a key are set aside in the run's
-    folder, and `bad` gets a line that counts them."""
-    landed = read_landing(run.spark, landing[kind], kind, extra)
-    rows = shape(readable(landed))
+    """Rows with a key of one landing folder, every crawl of it, with `fetched_at` and ORDER. Unreadable lines and rows
+    without a key are set aside in the run's folder, and `bad` gets a line that counts them."""
+    landed = read_landing(run.spark, landing[kind], kind, f"{extra}, fetched_at timestamp" if extra else "fetched_at timestamp", place=True)
+    rows = shape(readable(landed), ["fetched_at", PLACE])
     lines = run.staged(f"quarantine/{kind}/lines", corrupt(landed).select(CORRUPT)).count()
     keyless = run.staged(f"quarantine/{kind}/rows", shaping.rejected_rows(rows, key)).count()
     if bad is not None and lines + keyless:
         bad.append(f"{kind}: {lines} unreadable lines, {keyless} rows without a key")
-    return shaping.valid_rows(rows, key)
+    fetched = F.coalesce("fetched_at", moment(run.as_of)).alias("fetched_at")
+    rows = shaping.valid_rows(rows, key).select("*", F.struct(fetched, PLACE).alias(ORDER)).drop("fetched_at", PLACE)
+    return rows.withColumn("fetched_at", F.col(ORDER)["fetched_at"])
+
+
+def _last(rows: DataFrame, key: str) -> DataFrame:
+    return latest_per_key(rows, [key], ORDER, [c for c in rows.columns if c not in (key, ORDER)])
 
 
 def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10) -> DataFrame:
@@ -87,34 +100,32 @@ def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10) -
     video_id). Lines that cannot be read and rows without a key are set aside and counted in the log. Returns the log
     rows of the run.
     """
-    now = moment(run.as_of)
-    videos = comments = None
+    videos = last_videos = comments = None
     bad: list[str] = []
     if "channel" in landing:
-        _apply_channels(run, landing, now, bad)
+        _apply_channels(run, landing, bad)
     if "playlist" in landing:
         lists = _shaped(run, landing, "playlist", "playlist_id", shaping.playlist_rows, "channel_id string", bad)
-        lists = run.staged("playlists", first_per_key(lists, ["playlist_id"], "item_count"))
-        run.publish("playlists", maintenance.upsert_playlists(run.table("playlists"), lists, as_of=run.as_of))
+        lists = run.staged("playlist_crawls", lists)
+        run.publish("playlists", maintenance.upsert_playlists(run.table("playlists"), lists, order=ORDER, as_of=run.as_of))
     if "video" in landing:
-        shaped = _shaped(run, landing, "video", "video_id", shaping.video_rows, bad=bad).withColumn("fetched_at", now)
-        videos = run.staged("videos", first_per_key(shaped, ["video_id"], F.struct("view_count", "title")))
-        run.publish("videos", maintenance.upsert_videos(run.table("videos"), videos, as_of=run.as_of))
-        run.publish("chapters", maintenance.replace_chapters(run.table("chapters"), shaping.chapter_rows(videos), videos))
+        videos = run.staged("video_crawls", _shaped(run, landing, "video", "video_id", shaping.video_rows, bad=bad))
+        run.publish("videos", maintenance.upsert_videos(run.table("videos"), videos, order=ORDER, as_of=run.as_of))
+        last_videos = run.staged("videos", _last(videos, "video_id"))
+        run.publish("chapters", maintenance.replace_chapters(run.table("chapters"), shaping.chapter_rows(last_videos), last_videos))
     if "comment_thread" in landing:
-        shaped = _shaped(run, landing, "comment_thread", "comment_id", lambda items: shaping.comment_rows(items, max_replies),
-                         "video_id string", bad).withColumn("fetched_at", now)
-        comments = run.staged("comments", first_per_key(shaped, ["comment_id"], F.struct("published_at", "text")))
+        shaped = _shaped(run, landing, "comment_thread", "comment_id", lambda items, keep: shaping.comment_rows(items, max_replies, keep),
+                         "video_id string", bad)
+        comments = run.staged("comments", first_per_key(shaped, ["comment_id"], F.struct(ORDER, "published_at", "text")))
     _apply_counts(run, videos, comments)
-    return _log(run, videos, comments, bad)
+    return _log(run, last_videos, comments, bad)
 
 
-def _apply_channels(run: Run, landing: Mapping[str, str], now, bad: list[str]) -> None:
-    shaped = _shaped(run, landing, "channel", "channel_id", shaping.channel_rows, bad=bad).withColumn("fetched_at", now)
-    channels = run.staged("channels", first_per_key(shaped, ["channel_id"], F.struct("view_count", "title")))
-    run.publish("channels", maintenance.upsert_channels(run.table("channels"), channels, as_of=run.as_of))
-    stats = channels.select("channel_id", "fetched_at", "subscriber_count", "view_count", "video_count")
-    append("channel_stats", maintenance.new_stats("channel_stats", run.table("channel_stats"), stats), run.database)
+def _apply_channels(run: Run, landing: Mapping[str, str], bad: list[str]) -> None:
+    channels = run.staged("channel_crawls", _shaped(run, landing, "channel", "channel_id", shaping.channel_rows, bad=bad))
+    run.publish("channels", maintenance.upsert_channels(run.table("channels"), channels, order=ORDER, as_of=run.as_of))
+    stats = channels.select("channel_id", "fetched_at", "subscriber_count", "view_count", "video_count", ORDER)
+    append("channel_stats", maintenance.new_stats("channel_stats", run.table("channel_stats"), stats, ORDER), run.database)
 
 
 def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None) -> None:
@@ -123,7 +134,7 @@ def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None
     summary = run.table("video_comment_summary")
     stats = inserted = None
     if videos is not None:
-        stats = videos.select("video_id", "fetched_at", "view_count", "like_count", "comment_count")
+        stats = first_per_key(videos.select("video_id", "fetched_at", "view_count", "like_count", "comment_count", ORDER), ["video_id", "fetched_at"], ORDER)
         summary = maintenance.summary_after_stats(summary, stats)
     if comments is not None:
         inserted = run.staged("new_comments", maintenance.new_comments(run.table("comments"), comments))
@@ -131,7 +142,7 @@ def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None
     if stats is not None or inserted is not None:
         run.publish("video_comment_summary", summary)
     if stats is not None:
-        append("video_stats", maintenance.new_stats("video_stats", run.table("video_stats"), stats), run.database)
+        append("video_stats", maintenance.new_stats("video_stats", run.table("video_stats"), stats, ORDER), run.database)
     if inserted is not None:
         append("comments", maintenance.new_comments(run.table("comments"), inserted), run.database)
 
