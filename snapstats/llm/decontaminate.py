@@ -14,6 +14,7 @@ Items are read in blocks of ITEM_BLOCK, each block sent to all tasks and searche
 
 Edge cases: NULL and empty texts and items match nothing; items under GRAM words match nothing (chance would); items
 under 9 words match exactly only; rows with a NULL or repeated id are searched row by row; items that repeat are found under each id;
+items with a NULL id are searched by decontaminate() but not listed by the query;
 the rest of `docs` is ignored.
 """
 
@@ -159,15 +160,19 @@ class Items:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                 item_text: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
-    """(_id, _th, id, item_id, distance, start, end): matched items per row of `docs`; places in code points, end exclusive."""
-    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null")
+                 item_text: str = "text", block: int = ITEM_BLOCK, unnamed: bool = False) -> DataFrame:
+    """(_id, _th, id, item_id, distance, start, end): matched items per row of `docs`; places in code points, end exclusive.
+
+    Items with a NULL id are searched if `unnamed`, and reported with item_id NULL.
+    """
+    items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t"))
+    items = items if unnamed else items.where("i is not null")
     blocks = max(1, -(-items.count() // block))
     body = ship(docs).select(F.col(id_col).cast("bigint").alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"), *row_key(F.col(id_col), F.col(text)))
     schema = "_doc bigint, _id bigint, _th bigint, item_id bigint, distance int, start int, end int"
     found = None
     for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).toArrow()
+        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).toArrow()
         share = body.sparkSession.sparkContext.broadcast(Items(rows.column("i").to_pylist(), rows.column("t").to_pylist()))
 
         def search(batches: Iterator[pa.RecordBatch], share=share) -> Iterator[pa.RecordBatch]:
@@ -190,8 +195,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that hold no benchmark item."""
-    bad = stored(contaminated(docs, benchmark, id_col, text).select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct(), "contaminated")
+    """The rows of `docs` that hold no benchmark item, with or without an id."""
+    bad = stored(contaminated(docs, benchmark, id_col, text, unnamed=True).select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct(), "contaminated")
     return (docs.select(F.struct("*").alias("_row"), *row_key(F.col(id_col), F.col(text)))
             .join(hinted(bad), (F.col("_id") == F.col("_bad_id")) & (F.col("_th") == F.col("_bad_th")), "left_anti").select("_row.*"))
 
