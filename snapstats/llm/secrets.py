@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapstats.llm.automaton import Automaton
+from snapstats.llm.automaton import DEAD, Automaton
 from snapstats.llm.common import ship, text_pieces
 
 
@@ -57,13 +57,16 @@ class Scanner:
         self.rules = rules
         self.all = Automaton([(r.trigger or r.pattern, r.ignore_case) for r in rules], search=True)
         self.own = [Automaton([(r.pattern, r.ignore_case)]) for r in rules]
+        # A byte that the whole pattern of some rule can take is no place to cut, even if no trigger holds it.
+        taken = np.array([any(row[b] != DEAD for own in self.own for row in own.rows) for b in range(256)])
+        self.resets = self.all.resets & ~taken
         self.heads = [Automaton([(r.head, r.ignore_case)]) if r.head else None for r in rules]
 
     def lanes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of the pieces: whole texts, long ones cut behind reset bytes."""
         starts, long = [offsets[:-1]], np.flatnonzero(np.diff(offsets) > 2 * LANE_BYTES)
         if len(long):
-            cuts = np.flatnonzero(self.all.resets[data]) + 1
+            cuts = np.flatnonzero(self.resets[data]) + 1
             for d in long:
                 marks = np.arange(offsets[d] + LANE_BYTES, offsets[d + 1], LANE_BYTES)
                 own = cuts[np.minimum(np.searchsorted(cuts, marks), len(cuts) - 1)] if len(cuts) else marks[:0]
