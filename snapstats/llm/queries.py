@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.llm import bpe, decontaminate, line_dedup, minhash, nbsvm, quality_rules, secrets, substring_dedup, suffix_dedup, token_counts
+from snapstats.llm import (
+    bpe, decontaminate, fill_in_middle, line_dedup, minhash, nbsvm, periodic_runs, quality_rules, secrets, substring_dedup, suffix_dedup, token_counts,
+    toxicity)
 from snapstats.llm.common import documents
 
 
@@ -26,8 +28,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": lambda s, d: secrets.op8_secrets(documents(s, d)),
         "op9_decontaminate": lambda s, d: decontaminate.op9_decontaminate(documents(s, d), spark_table(s, d, "benchmark")),
         "op10_quality": lambda s, d: nbsvm.op10_quality(documents(s, d), spark_table(s, d, "labels")),
+        "op11_periodic_runs": lambda s, d: periodic_runs.op11_periodic_runs(documents(s, d)),
+        "op12_fill_in_middle": lambda s, d: fill_in_middle.op12_fill_in_middle(documents(s, d)),
+        "op13_toxicity": lambda s, d: toxicity.op13_toxicity(documents(s, d), spark_table(s, d, "labels")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.oracle()}
+    return {
+        "op1_line_dedup": line_dedup.oracle(),
+        "op11_periodic_runs": periodic_runs.oracle(),
+        "op12_fill_in_middle": fill_in_middle.oracle(),
+    }
