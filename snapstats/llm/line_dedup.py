@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from snapstats.llm.common import hinted, stored
 
-# A line on more than this share of a host's pages, and on at least so many of them, is boilerplate.
+# A line on more than this share of a host's pages is boilerplate; it must repeat, so that a site of one page keeps its text.
 BOILERPLATE_PERCENT = 5
-MIN_PAGES = 10
+MIN_PAGES = 2
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 

@@ -35,11 +35,6 @@ def char_classes() -> np.ndarray:
     return classes
 
 
-@lru_cache(1)
-def _char_values() -> np.ndarray:
-    return scan.mix(np.arange(sys.maxunicode + 1, dtype=np.uint64) + np.uint64(0x51ED2701)) | np.uint64(1)
-
-
 class PreTokens:
     """start, end (byte positions), hash, length in code points, and offsets by text of all pre-tokens."""
 
@@ -83,7 +78,7 @@ class PreTokens:
                 lone = np.setdiff1d(lone, at, assume_unique=True)
         first = np.flatnonzero(border)
         final = np.append(first[1:], n)
-        sums = scan.running(_char_values()[points])
+        sums = scan.running(points.astype(np.uint64) + np.uint64(1), small=True)
         self.hash = scan.spans_hash(sums, first, final)
         bytes_at = np.append(lead, len(data))
         self.start, self.end, self.points = bytes_at[first], bytes_at[final], final - first

@@ -10,7 +10,8 @@ of documents are formed and a passage shared by a third of the corpus is one row
 Most rolling windows hit nothing and are dropped where they are read, by a filter of bounded size (see bitmap.py); the
 equi joins behind it are exact. Copies of a whole text are told by hash beforehand: only the first one is scanned.
 
-Windows are judged on the input, by a 64-bit hash for blocks and another for windows. Edge cases: NULL and empty texts have no words;
+Windows are judged on the input, by a hash of 61 bits for blocks (anchors, which only bring windows to the comparison) and one of 122 bits
+for windows. Edge cases: NULL and empty texts have no words; very long texts are one piece of array work (see scan.py);
 a row with a NULL id keeps its words and removes no other's; rows with equal ids never remove each other's words; the rest of
 `docs` is ignored, whatever its names.
 """
@@ -57,7 +58,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     info = stored(body.withColumn("_t2", F.xxhash64(F.lit(1), F.col("_text"))).mapInArrow(
         _info, "_id bigint, _th bigint, _t2 bigint, _n bigint, _sha string"), "info")
     able = info.where(F.col("_id").isNotNull() & (F.col("_n") >= window))
-    firsts = able.groupBy("_th", "_t2").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
+    firsts = stored(able.groupBy("_th", "_t2").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")).where("_rows > 1"), "copied")
     copies = stored(able.join(firsts, ["_th", "_t2"]).where("_id > _first").select(*KEY).distinct(), "copies")
     scanned = body.where(F.col("_id").isNotNull()).join(hinted(copies), KEY, "left_anti")
 
@@ -99,16 +101,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             at, hashes = words.windows(window)
             near = hits[at + window - block + 1] > hits[at]
             at, hashes = at[near], hashes[near]
+            second = scan.spans_hash(scan.running(words.hash, lane=1), at, at + window, lane=1)
             doc = words.doc[at]
             take = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [_long(hashes), rows.column("_id").take(take), rows.column("_th").take(take),
-                 pa.array((at - words.offsets[doc]).astype(np.int32))], ["w", "_id", "_th", "at"])
+                [_long(hashes), _long(second), rows.column("_id").take(take), rows.column("_th").take(take),
+                 pa.array((at - words.offsets[doc]).astype(np.int32))], ["w", "w2", "_id", "_th", "at"])
 
-    windows = scanned.mapInArrow(extend, "w bigint, _id bigint, _th bigint, at int")
-    # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
-    least = stored(windows.groupBy("w").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "lo"), "least")
-    gone = stored(windows.join(least, "w").where("_id > lo").groupBy(*KEY).agg(F.collect_set("at").alias("_at")), "gone")
+    windows = scanned.mapInArrow(extend, "w bigint, w2 bigint, _id bigint, _th bigint, at int")
+    # Stored for the same reason.
+    least = stored(windows.groupBy("w", "w2").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("w", "w2", "lo"), "least")
+    gone = stored(windows.join(least, ["w", "w2"]).where("_id > lo").groupBy(*KEY).agg(F.collect_set("at").alias("_at")), "gone")
     cut = body.join(hinted(gone.select(*KEY)), KEY, "left_semi").distinct().join(gone, KEY)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ are told by hash beforehand and only one of them is sorted.
 
 Edge cases: NULL and empty texts have no bytes; every row is a document, also with a repeated or NULL id, so repeated rows of THRESHOLD
 bytes or more are removed entirely; shorter texts have no window; overlapping repeats count; the rest of `docs` is ignored,
-whatever its names. Digits are 64-bit hashes, whole texts 128-bit ones. kept is binary: a cut may fall inside a character.
+whatever its names. Digits are hashes of 61 bits, the last digit and whole texts of 122 and 128. kept is binary: a cut may fall inside a character.
 """
 
 from __future__ import annotations
@@ -56,14 +56,14 @@ class Stretches:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, threshold: int, gram: int):
         lengths = np.maximum(np.diff(offsets) - threshold + 1, 0)
         at = scan.concat_ranges(offsets[:-1], lengths)
-        sums = scan.running(scan.byte_values(data))
+        sums = scan.byte_sums(data)
         if not len(at):
             self.gram = self.stretch = np.zeros(0, np.uint64)
             self.lo = self.hi = self.place = self.doc = np.zeros(0, np.int64)
             return
-        _, down = scan.powers(len(data))
         n = len(data) - gram + 1
-        grams = scan.mix((sums[gram:] - sums[:-gram]) * down[:n])
+        ends = np.arange(gram, len(data) + 1)
+        grams = scan.spans_hash(sums, ends - gram, ends)
         least = _sliding_min((grams & ~_PLACE) | np.arange(n, dtype=np.uint64), threshold - gram + 1)
         place = (least[at] & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
@@ -120,7 +120,7 @@ def repeated_starts(scanned: DataFrame, threshold: int, gram: int, strip: int) -
 
     def strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
-            sums = scan.running(scan.byte_values(data))
+            sums = scan.byte_sums(data)
             jobs, doc = _flat(rows.column("_jobs"))
             lo, hi, place = (jobs[k] + offsets[doc] for k in ("lo", "hi", "place"))
             first = (place - hi) // strip
@@ -152,21 +152,21 @@ def repeated_starts(scanned: DataFrame, threshold: int, gram: int, strip: int) -
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_pieces(unpacked(batches), "_text"):
-            sums = scan.running(scan.byte_values(data))
+            sums, second = scan.byte_sums(data), scan.byte_sums(data, lane=1)
             jobs, doc = _flat(rows.column("_jobs"))
             lo = jobs["at"] + offsets[doc]
             at = scan.concat_ranges(lo, jobs["n"])
             job = np.repeat(np.arange(len(lo)), jobs["n"])
             yield pa.RecordBatch.from_arrays(
-                [_long(scan.spans_hash(sums, at, at + threshold)), pa.array(jobs["c"][job]), pa.array((at - lo[job] + jobs["off"][job]).astype(np.int32)),
-                 pa.array(jobs["ask"][job].astype(bool))], ["w", "c", "o", "ask"])
+                [_long(scan.spans_hash(sums, at, at + threshold)), _long(scan.spans_hash(second, at, at + threshold, lane=1)), pa.array(jobs["c"][job]), pa.array((at - lo[job] + jobs["off"][job]).astype(np.int32)),
+                 pa.array(jobs["ask"][job].astype(bool))], ["w", "w2", "c", "o", "ask"])
 
     # Pass 4: the windows of mixed strips to the full depth.
     ends = packed(scanned).join(tail, KEY).select(*KEY, "_z", "_jobs")
-    windows = stored(ends.mapInArrow(rest, "w bigint, c bigint, o int, ask boolean"), "windows")
+    windows = stored(ends.mapInArrow(rest, "w bigint, w2 bigint, c bigint, o int, ask boolean"), "windows")
     # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
-    groups = stored(windows.groupBy("w").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("w"), "digit4")
-    single_windows = windows.where("ask").join(groups, "w", "left_semi").select("c", F.col("o").alias("first"), F.col("o").alias("last"))
+    groups = stored(windows.groupBy("w", "w2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("w", "w2"), "digit4")
+    single_windows = windows.where("ask").join(groups, ["w", "w2"], "left_semi").select("c", F.col("o").alias("first"), F.col("o").alias("last"))
     found = stored(settled.unionByName(single_windows).groupBy("c").agg(F.collect_list(F.struct("first", "last")).alias("offs")), "found")
     many = stored(kinds.where("n > 1").select("c").distinct(), "settled")
     inside = F.explode(F.transform("offs", lambda o: F.struct((F.col("lo") + o["first"]).alias("first"), (F.col("lo") + o["last"]).alias("last"))))

@@ -14,7 +14,7 @@ def shingles(text):
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [(i, shingles(t)) for i, t in rows]
     root = {i: i for i, _ in rows if i is not None}
 
@@ -24,7 +24,7 @@ def brute(rows):
         return x
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if i is not None and j is not None and a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if i is not None and j is not None and a and b and 100 * len(a & b) >= percent * len(a | b):
                 lo, hi = sorted((find(i), find(j)))
                 root[hi] = lo
     return sorted((i if i is not None else -1, len(s), find(i) if i is not None else None, i is None or find(i) == i) for i, s in sets)

@@ -1,10 +1,7 @@
 """The near-duplicate stage links pairs from a similarity of 0.80 on."""
 
-import inspect
-
 import corpus_pipeline as cp
 import test_minhash
-import test_pipeline
 
 
 def pair(words, changed):
@@ -26,13 +23,3 @@ def test_stage_takes_pairs_between_80_and_85(spark):
     near = [s >= 0.80 for s in similarity]
     assert any(0.80 <= s < 0.85 for s in similarity) and not all(near)
     assert kept == {2 * k for k in range(4)} | {2 * k + 1 for k in range(4) if not near[k]}
-
-
-def test_whole_pipeline_at_80(spark, monkeypatch):
-    """test_pipeline.test_run with the stage's own percentage in its brute force."""
-    source = inspect.getsource(test_minhash.brute)
-    assert ">= 85 *" in source
-    made = {}
-    exec(source.replace(">= 85 *", f">= {cp.NEAR_PERCENT} *"), {"shingles": test_minhash.shingles}, made)
-    monkeypatch.setattr(test_minhash, "brute", made["brute"])
-    test_pipeline.test_run(spark)

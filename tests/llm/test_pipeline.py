@@ -24,7 +24,7 @@ def test_run(spark):
     bad = {k for k, n in pages.items() if n >= line_dedup.MIN_PAGES and n * 100 > totals[k[0]] * line_dedup.BOILERPLATE_PERCENT}
     for d in docs:
         d["text"] = "\n".join(x for x in d["text"].split("\n") if (d["source"], x) not in bad)
-    kept = {g[0] for g in test_minhash.brute([(d["doc_id"], d["text"]) for d in docs]) if g[3]}
+    kept = {g[0] for g in test_minhash.brute([(d["doc_id"], d["text"]) for d in docs], cp.NEAR_PERCENT) if g[3]}
     docs = [d for d in docs if d["doc_id"] in kept]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     texts = [(d["doc_id"], d["text"]) for d in docs]
