@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from snapstats.schemas import MONTH_COLUMN
+
 AsOf = "str | dt.datetime | Column | None"
 
 
@@ -55,5 +57,11 @@ def hours_before(clock: Column, hours: Column | int) -> Column:
 
 
 def since(df: DataFrame, column: str, as_of: AsOf, days: int) -> Column:
-    """Predicate: `column` lies in the last `days` days before `as_of`, cutoff included."""
-    return F.col(column) >= days_before(moment_for(df, column, as_of), days)
+    """Predicate: `column` lies in the last `days` days before `as_of`, cutoff included.
+
+    Where `df` carries the month it was fetched in, months before the cutoff are skipped as a whole: nothing is fetched
+    before it is published, so this holds for publish dates as well.
+    """
+    cutoff = days_before(moment_for(df, column, as_of), days)
+    recent = F.col(column) >= cutoff
+    return recent & (F.col(MONTH_COLUMN) >= F.trunc(cutoff, "month")) if MONTH_COLUMN in df.columns else recent

@@ -15,12 +15,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SALTS = 64
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, columns: Sequence[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], at: str, columns: Sequence[str], unique: bool = False) -> DataFrame:
     """Newest row per key: `keys`, `at` and `columns`.
 
-    One pass over the table. Ties on `at` are settled by the remaining columns, so the result is one
-    whole row even where the (key, time) uniqueness is violated.
+    One pass over the table. Ties on `at` are settled by the remaining columns, so the result is one whole row even where the (key, time)
+    uniqueness is violated. `unique` promises that it is not, as the stored snapshot tables do: then columns of fixed width are
+    picked by time alone, in a hash aggregate, where comparing whole rows takes two sorts.
     """
+    if unique:
+        newest = [F.max(at).alias(at), *(F.max_by(c, at).alias(c) for c in columns)]
+        return df.groupBy(*keys).agg(*newest)
     newest = F.max(F.struct(at, *columns))
     return df.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
 
@@ -43,13 +47,13 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Column | str | None) -> DataFrame:
-    """One row per key: the first by `order`, or any when the duplicates are known to be equal."""
-    if order is None:
-        return df.dropDuplicates(list(keys))
+    """One row per key: the first by `order`; without one the smallest by all columns, so that the choice is the same on every run."""
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     return (
         df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), order).alias("_row"))
+        .agg(F.min_by(F.struct(*rest), F.struct(*rest) if order is None else order).alias("_row"))
         .select(*keys, "_row.*")
         .select(*df.columns)
     )
@@ -76,13 +80,14 @@ def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-                 order: Column | str | None = None, whole_table: bool = False) -> DataFrame:
+                 order: Column | str | None = None, whole_table: bool = False, not_older: str | None = None) -> DataFrame:
     """Partial-column upsert.
 
     Known keys take `update_cols` from the incoming row and keep the rest; new keys are inserted whole.
     Rows of one batch that share a key apply in `order`: kept columns from the first, updated columns
     from the last. Without `order` the incoming keys must be unique. Incoming columns the table lacks
-    are ignored; table columns the batch lacks stay as they are, or NULL in new rows.
+    are ignored; table columns the batch lacks stay as they are, or NULL in new rows. With `not_older`, a time among
+    the updated columns, a known key is updated only by a row that is not older than the stored one.
 
     A batch is joined left and its new rows added: one that fits a broadcast updates the table along its
     scan, without shuffling it. `whole_table` says the incoming side is of the table's own size; then one
@@ -98,7 +103,8 @@ def merge_by_key(current: DataFrame, incoming: DataFrame, keys: Sequence[str], u
     brought = [c for c in columns if c not in keys] if whole_table else updates
     new = F.struct(F.lit(True).alias("_hit"), *brought).alias("_new")
     hit = F.col("_new").isNotNull()
-    updated = [F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
+    wins = hit if not_older is None else hit & (F.col(not_older).isNull() | (F.col("_new")[not_older] >= F.col(not_older)))
+    updated = [F.when(wins, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in updates else F.col(c)
                for c in current.columns]
     if not whole_table:
         joined = current.join(incoming.select(*keys, new), keys, "left").select(*updated)

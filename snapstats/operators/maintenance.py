@@ -27,7 +27,7 @@ MAX_LOGGED_ERRORS = 10
 # --- metadata -------------------------------------------------------------------------------------
 
 def upsert(table: str, current: DataFrame, incoming: DataFrame, order: Column | str | None = None,
-           as_of: AsOf = None) -> DataFrame:
+           as_of: AsOf = None, whole_table: bool = False) -> DataFrame:
     """Merge channels, videos or playlists by their key and update list.
 
     With `as_of`, incoming rows are stamped: `updated_at` always, `first_seen_at` for new videos.
@@ -39,7 +39,7 @@ def upsert(table: str, current: DataFrame, incoming: DataFrame, order: Column |
     if table == "videos":
         for name in (c for c in VIDEO_FLAGS if c in incoming.columns):
             incoming = incoming.withColumn(name, flag(F.col(name)))
-    return merge_by_key(current, incoming, PRIMARY_KEYS[table], UPDATE_COLUMNS[table], order)
+    return merge_by_key(current, incoming, PRIMARY_KEYS[table], UPDATE_COLUMNS[table], order, whole_table)
 
 
 def upsert_channels(current: DataFrame, incoming: DataFrame, **how) -> DataFrame:
@@ -74,12 +74,17 @@ def insert_stats(table: str, current: DataFrame, batch: DataFrame, order: Column
 
 
 def summary_after_stats(summary: DataFrame, batch: DataFrame, whole_table: bool = False) -> DataFrame:
-    """Comment summary with the listed count and time of each video's latest row in the batch."""
-    latest = latest_per_key(_counts_filled(batch), ["video_id"], "fetched_at", ["comment_count"]).select(
+    """Comment summary with the listed count and time of each video's latest row in the batch.
+
+    A batch that arrives late does not move a video back: the newer of summary and batch stays. Of rows of one video and time the
+    largest count holds.
+    """
+    counted = _counts_filled(batch).groupBy("video_id", "fetched_at").agg(F.max("comment_count").alias("comment_count"))
+    latest = latest_per_key(counted, ["video_id"], "fetched_at", ["comment_count"], unique=True).select(
         "video_id", F.lit(0).cast("bigint").alias("stored_comment_count"),
         F.col("comment_count").alias("latest_youtube_comment_count"), F.col("fetched_at").alias("last_stats_fetch"))
     return merge_by_key(summary, latest, ["video_id"], ["latest_youtube_comment_count", "last_stats_fetch"],
-                        whole_table=whole_table)
+                        whole_table=whole_table, not_older="last_stats_fetch")
 
 
 # --- comments and transcripts ---------------------------------------------------------------------
@@ -132,7 +137,7 @@ def summary_backfill(videos: DataFrame, comments: DataFrame, video_stats: DataFr
     todo = videos.select("video_id").join(summary.select("video_id"), "video_id", "left_anti")
     counted = comments.groupBy("video_id").agg(
         F.count(F.lit(1)).alias("_stored"), F.max("fetched_at").alias("last_comment_fetch"))
-    listed = latest_per_key(video_stats, ["video_id"], "fetched_at", ["comment_count"]).select(
+    listed = latest_per_key(video_stats, ["video_id"], "fetched_at", ["comment_count"], unique=True).select(
         "video_id", F.col("comment_count").alias("latest_youtube_comment_count"),
         F.col("fetched_at").alias("last_stats_fetch"))
     return (
@@ -235,10 +240,22 @@ def fetch_log_from_events(opened: DataFrame, closed: DataFrame) -> DataFrame:
 
 
 def processed_ids(progress: DataFrame) -> DataFrame:
-    """Stored id lists as rows."""
+    """Id lists of finished work, as a crawl reports them, as rows of (channel_id, operation, video_id)."""
     return progress.select("channel_id", "operation", F.explode("processed_ids").alias("video_id"))
 
 
+def progress_totals(processed: DataFrame, todo: DataFrame) -> DataFrame:
+    """Per channel and operation: all there is to do, what is done of it and what is left.
+
+    `todo` has (channel_id, operation, video_id). Finished work that is no longer wanted counts nowhere.
+    """
+    keys = ["channel_id", "operation", "video_id"]
+    done = processed.select(*keys).distinct().withColumn("_done", F.lit(True))
+    return (todo.select(*keys).distinct().join(done, keys, "left").groupBy("channel_id", "operation")
+            .agg(F.count(F.lit(1)).alias("total_count"), F.count("_done").alias("processed_count"))
+            .withColumn("remaining_count", F.col("total_count") - F.col("processed_count")))
+
+
 def remaining_ids(todo: DataFrame, processed: DataFrame, operation: str) -> DataFrame:
     """Work left to do: `todo` (channel_id, video_id) without what any earlier run has done."""
     done = processed.filter(F.col("operation") == operation).select("channel_id", "video_id")
@@ -246,9 +263,12 @@ def remaining_ids(todo: DataFrame, processed: DataFrame, operation: str) -> Data
 
 
 def save_progress(processed: DataFrame, done: DataFrame, operation: str) -> DataFrame:
-    """Progress rows to append: ids done and not yet recorded."""
-    rows = done.select("channel_id", F.lit(operation).alias("operation"), "video_id").distinct()
-    return rows_missing(rows, processed, ["channel_id", "operation", "video_id"])
+    """Progress rows to append: ids done and not yet recorded. Columns of `done` beside the ids (run, time) are kept."""
+    keys = ["channel_id", "operation", "video_id"]
+    rows = done.withColumn("operation", F.lit(operation))
+    rest = [c for c in rows.columns if c not in keys]
+    rows = first_per_key(rows.select(*keys, *rest), keys, None)
+    return rows_missing(rows, processed, keys)
 
 
 def clear_progress(processed: DataFrame, channels: DataFrame, operation: str | None = None) -> DataFrame:

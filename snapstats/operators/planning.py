@@ -174,6 +174,12 @@ def new_video_ids(listing: DataFrame, videos: DataFrame) -> DataFrame:
     return new.select("channel_id", "video_id")
 
 
+def complete_listings(listing: DataFrame, declared: DataFrame) -> DataFrame:
+    """Channels (channel_id) whose listing brought as many different videos as it `declared` (channel_id, total)."""
+    seen = listing.groupBy("channel_id").agg(F.count_distinct("video_id").alias("_seen"))
+    return (declared.join(seen, "channel_id", "left").filter(F.coalesce("_seen", F.lit(0)) >= F.col("total")).select("channel_id"))
+
+
 def vanished_video_ids(videos: DataFrame, listing: DataFrame, complete_channels: DataFrame) -> DataFrame:
     """Stored, not yet deleted videos that a complete listing of their channel no longer has.
 

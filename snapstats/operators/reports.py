@@ -23,11 +23,11 @@ LAST_BUCKET = "60+ min"
 
 
 def latest_video_stats(tables: Tables, *columns: str) -> DataFrame:
-    return latest_per_key(tables["video_stats"], ["video_id"], "fetched_at", columns)
+    return latest_per_key(tables["video_stats"], ["video_id"], "fetched_at", columns, unique=True)
 
 
 def latest_channel_stats(tables: Tables, *columns: str) -> DataFrame:
-    return latest_per_key(tables["channel_stats"], ["channel_id"], "fetched_at", columns)
+    return latest_per_key(tables["channel_stats"], ["channel_id"], "fetched_at", columns, unique=True)
 
 
 def _channel_titles(tables: Tables) -> DataFrame:
@@ -109,7 +109,7 @@ def recent_uploads(tables: Tables, as_of: AsOf = None, limit: int = 50) -> DataF
     )
     ids = recent.select("video_id")
     stats = latest_per_key(tables["video_stats"].join(ids, "video_id", "left_semi"), ["video_id"], "fetched_at",
-                           ["view_count", "like_count"]).drop("fetched_at")
+                           ["view_count", "like_count"], unique=True).drop("fetched_at")
     spoken = (tables["transcripts"].select("video_id").join(ids, "video_id", "left_semi").distinct()
               .withColumn("_has", F.lit(True)))
     return (

@@ -198,6 +198,35 @@ def choose_track(tracks: DataFrame, languages: Sequence[str] = LANGUAGES) -> Dat
     )
 
 
+def best_track(tracks: Column, languages: Sequence[str] = LANGUAGES) -> Column:
+    """The track of one video's array by the rule of `choose_track`, with its `rank`; NULL if none will do."""
+    n = len(languages)
+
+    def ranked(track: Column, at: Column) -> Column:
+        preference = F.array_position(F.lit(list(languages)), track["language_code"])
+        rank = (F.when((preference > 0) & ~track["is_generated"], preference).when((preference > 0) & track["is_generated"], preference + n)
+                .when(track["is_translatable"], F.lit(2 * n + 1).cast("bigint")))
+        return F.struct(rank.alias("rank"), at.alias("at"), track.alias("track"))
+    return F.array_min(F.filter(F.transform(tracks, ranked), lambda r: r["rank"].isNotNull()))
+
+
+def transcript_attempts(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Landed attempts (`video_id`, `item`) to transcript rows with their outcome class; an attempt succeeds if it has a
+    usable track and its segments. The track is chosen inside the row, so nothing is shuffled.
+    """
+    best, n = best_track(F.col("item.tracks")), len(LANGUAGES)
+    translated = F.col("_best.rank") > 2 * n
+    found = F.col("_best").isNotNull() & (F.coalesce(F.size("item.segments"), F.lit(0)) > 0)
+    rows = items.withColumn("_best", best).select(
+        "video_id", *keep,
+        F.when(translated, "English (translated)").otherwise(F.col("_best.track.language")).alias("language"),
+        F.when(translated, "en").otherwise(F.col("_best.track.language_code")).alias("language_code"),
+        F.when(translated, "translated").when(F.col("_best.track.is_generated"), "auto-generated").otherwise("manual").alias("transcript_type"),
+        F.col("item.segments").alias("segments"), found.alias("available"),
+        F.coalesce("item.failed", F.lit(False)).alias("failed"), F.coalesce("item.reason", F.lit("")).alias("reason"))
+    return classify_outcomes(transcript_rows(rows)).drop("available", "failed", "snippet_count")
+
+
 def transcript_rows(transcripts: DataFrame) -> DataFrame:
     """Segments of each transcript with their ends, the whole text, and how many there are."""
     return transcripts.withColumns({
@@ -264,6 +293,23 @@ def parse_identifiers(identifiers: DataFrame) -> DataFrame:
     return identifiers.select("identifier", identifier_kind(text).alias("kind"), identifier_value(text).alias("value"))
 
 
+def searched_ids(pages: DataFrame, after: DataFrame | None = None, page_number: str = "page_number") -> DataFrame:
+    """Search pages (columns `channel_id`, page number, `item`) to video ids in listing order; other kinds of hits drop out.
+
+    A search is asked for what was published after a channel's newest stored video; `after` (channel_id, latest_published_at) drops
+    hits that an answer brings all the same. Hits without a readable date stay.
+    """
+    entries = pages.select("channel_id", page_number, F.posexplode("item.items").alias("_at", "_entry")).select(
+        "channel_id", F.col("_entry.id.videoId").alias("video_id"), parse_timestamp(F.col("_entry.snippet.publishedAt")).alias("published_at"),
+        F.struct(F.col(page_number).alias("page"), F.col("_at").alias("at")).alias("position"))
+    entries = valid_rows(entries, "video_id")
+    if after is None:
+        return entries
+    known = after.select("channel_id", F.col("latest_published_at").alias("_after"))
+    return (entries.join(known, "channel_id", "left")
+            .filter(F.col("_after").isNull() | F.col("published_at").isNull() | (F.col("published_at") > F.col("_after"))).drop("_after"))
+
+
 def listed_ids(pages: DataFrame, page_number: str = "page_number") -> DataFrame:
     """Playlist pages (columns `channel_id`, page number, `item`) to video ids in listing order; blanks drop out.
 

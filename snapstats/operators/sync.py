@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapstats.functions.timeutil import AsOf, moment
 from snapstats.operators.keyed import merge_by_key
 from snapstats.schemas import PRIMARY_KEYS, SYNC_TABLES
+from snapstats.session import shared_folder
+from snapstats.sources.tables import append, publish
 
 log = logging.getLogger(__name__)
 
@@ -71,18 +74,43 @@ def sync_report(source: Mapping[str, DataFrame], destination: Mapping[str, DataF
     return report
 
 
+def shared_stage(spark: SparkSession) -> Callable[[str, DataFrame], DataFrame]:
+    """Stores what a table is about to receive in a fresh folder that all executors share, and reads it back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/sync-{uuid.uuid4().hex}"
+
+    def stage(table: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{folder}/{table}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{table}")
+    return stage
+
+
+def store_sink(database: str | None, folder: str) -> Callable[[str, DataFrame, bool], None]:
+    """Sink into the stored tables: missing rows are appended, a whole table becomes a new version in `folder`."""
+    def write(table: str, rows: DataFrame, adds: bool) -> None:
+        if adds:
+            append(table, rows, database)
+        else:
+            publish(table, rows, f"{folder.rstrip('/')}/{table}-{uuid.uuid4().hex}", database)
+    return write
+
+
 def sync_table(table: str, source: DataFrame, destination: DataFrame, write: Callable[[str, DataFrame, bool], None],
-               keys: Sequence[str] | None = None, incremental: bool = False, dry_run: bool = False) -> dict:
-    """Carry one table and report on it. `write(table, rows, append)` is the sink.
+               keys: Sequence[str] | None = None, incremental: bool = False, dry_run: bool = False,
+               stage: Callable[[str, DataFrame], DataFrame] | None = None) -> dict:
+    """Carry one table and report on it, once it has arrived. `write(table, rows, append)` is the sink.
 
-    The counts are taken before the write, from the keys alone.
+    The comparison runs once: its rows are stored by `stage`, counted from the stored files and written from there, so
+    the counts are those of the rows that moved, also when tasks had to be repeated.
     """
     keys = keys or PRIMARY_KEYS[table]
-    report = sync_counts(table, source, destination, keys, incremental, dry_run).first().asDict()
-    if not dry_run:
-        rows = missing_rows(source, destination, keys) if incremental else full_merge(source, destination, keys)
-        write(table, rows, incremental)
-    return report
+    if dry_run:
+        return sync_counts(table, source, destination, keys, incremental, dry_run).first().asDict()
+    rows = missing_rows(source, destination, keys) if incremental else full_merge(source, destination, keys)
+    rows = (stage or shared_stage(source.sparkSession))(table, rows)
+    source_count = source.count()
+    synced = rows.count() if incremental else source_count
+    write(table, rows, incremental)
+    return {"table": table, "status": "success", "source_count": source_count, "synced": synced, "skipped": source_count - synced}
 
 
 def sync_stores(spark: SparkSession, source: Mapping[str, DataFrame], destination: Mapping[str, DataFrame],
@@ -93,13 +121,13 @@ def sync_stores(spark: SparkSession, source: Mapping[str, DataFrame], destinatio
     unknown = [t for t in wanted if t not in SYNC_TABLES]
     if unknown:
         log.warning("unknown tables ignored: %s", unknown)
-    results = []
+    results, stage = [], None if dry_run else shared_stage(spark)
     for table in (t for t in wanted if t in SYNC_TABLES):
         if table not in source:
             results.append((table, "skipped", None, 0, 0, "not found in source"))
             continue
         try:
-            r = sync_table(table, source[table], destination[table], write, incremental=incremental, dry_run=dry_run)
+            r = sync_table(table, source[table], destination[table], write, incremental=incremental, dry_run=dry_run, stage=stage)
             results.append((table, r["status"], r["source_count"], r["synced"], r["skipped"], None))
         except Exception as error:  # one table's failure is reported, not raised
             log.error("syncing %s failed: %s", table, error)

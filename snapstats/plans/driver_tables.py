@@ -61,6 +61,16 @@ VIEWS = {
         select event_id as fetch_id, user_id as channel_id, event_type as fetch_type, ts as started_at,
                ts as completed_at, case when event_type = 'error' then 'failed' else 'completed' end as status
         from events""",
+    "chapters": """
+        select l_orderkey as video_id, l_linenumber as chapter_index, max(concat('Part ', l_returnflag)) as title,
+               min(l_partkey) as start_seconds, max(l_suppkey) as end_seconds
+        from lineitem group by l_orderkey, l_linenumber""",
+    "fetch_progress": """
+        select user_id as channel_id, event_type as operation, event_id % 100 as video_id, max(event_id) as fetch_id,
+               max(ts) as last_updated
+        from events group by user_id, event_type, event_id % 100""",
+    "quota_usage": """
+        select cast(ts as date) as date, count(*) as used, max(ts) as last_updated from events group by cast(ts as date)""",
     "op_log": """
         select cast(ts as date) as date, event_type as operation, 1 as calls from events""",
     # State of the comment summary at PLAN_AS_OF, and the videos published by then.

@@ -398,10 +398,13 @@ DESTINATIONS = {
     "channel_stats": CHANNEL_STATS_STORED,
     "videos": "select * from stored_videos",
     "video_stats": VIDEO_STATS_STORED,
-    "comments": "select event_id as comment_id from events where event_type <> 'purchase'",
+    "chapters": "select * from chapters where chapter_index < 3",
+    "comments": "select comment_id, video_id, text, like_count from comments where comment_id % 3 <> 0",
     "transcripts": TRANSCRIPTS_STORED,
     "playlists": STORED_LISTS,
     "fetch_log": "select * from fetch_log where status = 'completed'",
+    "fetch_progress": "select * from fetch_progress where operation <> 'click'",
+    "quota_usage": "select * from quota_usage where used % 2 = 0",
 }
 
 

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstats.plans import io_queries, maintenance_queries, planning_queries, report_queries, shaping_queries
+from snapstats.plans import io_queries, maintenance_queries, planning_queries, report_queries, shaping_queries, store_queries
 from snapstats.plans.driver_tables import DriverTables, with_views
 
-GROUPS = [report_queries, planning_queries, maintenance_queries, shaping_queries, io_queries]
+GROUPS = [report_queries, planning_queries, maintenance_queries, shaping_queries, io_queries, store_queries]
 
 
 def _entries() -> dict:

@@ -213,7 +213,7 @@ def report_sizes(t: DriverTables):
 
 
 def latest_snapshots(t: DriverTables):
-    return latest_per_key(t["video_stats"], ["video_id"], "fetched_at", ["view_count", "like_count", "comment_count"])
+    return latest_per_key(t["video_stats"], ["video_id"], "fetched_at", ["view_count", "like_count", "comment_count"], unique=True)
 
 
 LATEST_SNAPSHOTS = f"select video_id, fetched_at, view_count, like_count, comment_count from ({LATEST})"

@@ -44,10 +44,7 @@ TABLE_DDL = {
         "fetch_id bigint, channel_id string, fetch_type string, started_at timestamp, completed_at timestamp, "
         "videos_fetched bigint, comments_fetched bigint, transcripts_fetched bigint, errors string, status string"
     ),
-    "fetch_progress": (
-        "channel_id string, fetch_id bigint, operation string, processed_ids array<string>, "
-        "total_count bigint, last_updated timestamp"
-    ),
+    "fetch_progress": "channel_id string, operation string, video_id string, fetch_id bigint, last_updated timestamp",
     "quota_usage": "date date, used bigint, operations map<string, bigint>, last_updated timestamp",
     "video_comment_summary": (
         "video_id string, stored_comment_count bigint, last_comment_fetch timestamp, "
@@ -65,7 +62,7 @@ PRIMARY_KEYS = {
     "comments": ["comment_id"],
     "playlists": ["playlist_id"],
     "fetch_log": ["fetch_id"],
-    "fetch_progress": ["channel_id", "fetch_id", "operation"],
+    "fetch_progress": ["channel_id", "operation", "video_id"],
     "quota_usage": ["date"],
     "video_comment_summary": ["video_id"],
 }
@@ -92,10 +89,23 @@ EXPORT_TABLES = [
     "channels", "channel_stats", "videos", "video_stats", "chapters", "transcripts", "comments", "playlists",
 ]
 
+# Layout columns of the stored tables; they follow from the rows and belong to no schema.
+MONTH_COLUMN, BUCKET_COLUMN = "fetched_month", "key_bucket"
+
 # Append-only tables laid out by month, so that time windows prune whole folders. Within a month every run
 # writes its own files with a narrow range of times, which the file statistics prune further.
 MONTH_PARTITIONED = {"channel_stats": "fetched_at", "video_stats": "fetched_at", "comments": "fetched_at"}
 
+# Tables laid out by a hash of this column, so that a batch reads and rewrites the buckets of its keys only. All
+# rows of a video lie in the bucket of its id.
+BUCKETED = {
+    "channels": "channel_id", "videos": "video_id", "video_stats": "video_id", "chapters": "video_id", "transcripts": "video_id",
+    "comments": "video_id", "playlists": "playlist_id", "fetch_progress": "channel_id", "video_comment_summary": "video_id",
+}
+
+# Keys that are looked up one by one get Bloom filters in the files.
+BLOOM_FILTERED = {"comments": "comment_id"}
+
 
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(TABLE_DDL[name])
@@ -132,13 +142,16 @@ PAYLOAD_DDL = {
         "contentDetails struct<itemCount: string>, status struct<privacyStatus: string>"
     ),
     "playlist_page": "items array<struct<contentDetails: struct<videoId: string>>>, nextPageToken string",
-    "search_page": "items array<struct<id: struct<videoId: string>>>, nextPageToken string",
+    "search_page": "items array<struct<id: struct<videoId: string>, snippet: struct<publishedAt: string>>>, nextPageToken string",
     "comment_thread": (
         f"id string, snippet struct<topLevelComment: struct<snippet: struct<{_COMMENT}>>>, "
         f"replies struct<comments: array<struct<id: string, snippet: struct<{_COMMENT}>>>>"
     ),
-    "transcript_track": "language string, language_code string, is_generated boolean, is_translatable boolean",
-    "transcript_segment": "start double, duration double, text string",
+    # An attempt at a video's transcript: the tracks on offer, the segments of the chosen one, or what went wrong.
+    "transcript": (
+        "tracks array<struct<language: string, language_code: string, is_generated: boolean, is_translatable: boolean>>, "
+        "segments array<struct<start: double, duration: double, text: string>>, failed boolean, reason string"
+    ),
 }
 
 

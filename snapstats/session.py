@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # So many keys of a small batch reach the Parquet files one by one, where Bloom filters answer.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
 }
 
 

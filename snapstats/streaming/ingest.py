@@ -14,8 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snapstats.operators.maintenance import new_comments, new_stats
 from snapstats.operators.shaping import comment_rows, rejected_rows, valid_rows, video_rows
+from snapstats.schemas import BLOOM_FILTERED
 from snapstats.sources.landing import CORRUPT, PLACE, corrupt, parse_lines, readable, with_line
-from snapstats.sources.tables import append, load_catalog, qualified
+from snapstats.sources.tables import append, part_for, qualified
 
 _log = logging.getLogger(__name__)
 
@@ -46,7 +47,7 @@ def _run(spark: SparkSession, stream: DataFrame, checkpoint: str, table: str, da
         if any(bad):
             _log.warning("%s, batch %d: %d unreadable lines, %d rows without a key", table, number, *bad)
         rows = valid_rows(shaped, key).persist()
-        current = load_catalog(batch.sparkSession, database, [table])[table]
+        current = part_for(batch.sparkSession, table, rows, database, [key] if table in BLOOM_FILTERED else None)
         append(table, pick(current, rows), database)
         rows.unpersist()
         batch.unpersist()

@@ -20,7 +20,7 @@ T1, T2 = dt.datetime(2026, 1, 1, 5), dt.datetime(2026, 1, 2, 5)
 def database(spark, folder):
     name = f"db_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
-    tables.create_tables(spark, name)
+    tables.create_tables(spark, name, buckets=4)
     return name
 
 
