@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from snapstats.operators import reports, usage
 from snapstats.plans import report_queries, shaping_queries
 from snapstats.plans.driver_tables import BASE_TABLES, EVENTS_AS_OF, DriverTables
+from snapstats.plans.store_queries import CONTENTS, content, in_store
+from snapstats.schemas import EXPORT_TABLES, PRIMARY_KEYS
 from snapstats.session import shared_folder
 from snapstats.sources import exports, landing, tables
 
@@ -17,57 +20,66 @@ def _fresh(t: DriverTables, kind: str) -> str:
     return f"{shared_folder(t.spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def _sizes(named: dict):
-    sizes = None
-    for name, df in named.items():
-        size = df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
-        sizes = size if sizes is None else sizes.unionByName(size)
-    return sizes
+# A column of every table whose sum its rows are known by.
+SUMMED = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+    "lineitem": "l_partkey", "events": "event_id", "documents": "length(text)", "embeddings": "1", "pages": "length(html)",
+    "benchmark": "length(text)", "labels": "doc_id", "conversations": "length(text)",
+}
 
 
 def load_tables(t: DriverTables):
-    return _sizes(tables.load_tables(t.spark, t.folder, BASE_TABLES, layout="{root}/{table}.parquet"))
+    """Every table read, its rows counted and one of its columns summed."""
+    loaded = tables.load_tables(t.spark, t.folder, BASE_TABLES, layout="{root}/{table}.parquet")
+    parts = [loaded[n].selectExpr(f"'{n}' as table", "count(*) as rows", f"cast(sum({SUMMED[n]}) as bigint) as total") for n in BASE_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+LOAD_TABLES = " union all ".join(
+    f"""select '{n}' as "table", count(*) as rows, cast(sum({SUMMED[n]}) as bigint) as total from {n}""" for n in BASE_TABLES)
+
 
+# What a stored row is known by: all tables are filled, appended to twice, read back.
+STORED = {**CONTENTS, "video_comment_summary": ["video_id", "stored_comment_count", "latest_youtube_comment_count"]}
 
-LOAD_TABLES = " union all ".join(f"""select '{n}' as "table", count(*) as rows from {n}""" for n in BASE_TABLES)
+
+def _source(name: str) -> str:
+    return "plan_summary" if name == "video_comment_summary" else name
 
 
 def stored_tables(t: DriverTables):
-    """Snapshots and the run log appended to fresh catalog tables, read back."""
-    database = f"snap_{uuid.uuid4().hex}"
-    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(t, 'store')}'")
-    tables.create_tables(t.spark, database)
-    tables.append("video_stats", t["video_stats"], database)
-    tables.append("fetch_log", t["fetch_log"], database)
-    stored = tables.load_catalog(t.spark, database, ["video_stats", "fetch_log", "channels"])
-    return (
-        stored["video_stats"].groupBy("video_id")
-        .agg(F.count(F.lit(1)).alias("snapshots"), F.max("fetched_at").alias("newest"), F.sum("view_count").alias("views"))
-        .unionByName(stored["fetch_log"].groupBy(F.col("fetch_type").alias("video_id")).agg(
-            F.count(F.lit(1)).alias("snapshots"), F.max("started_at").alias("newest"), F.lit(0).cast("bigint").alias("views")))
-        .unionByName(stored["channels"].select(
-            F.col("channel_id").alias("video_id"), F.lit(0).cast("bigint").alias("snapshots"),
-            F.col("updated_at").alias("newest"), F.lit(0).cast("bigint").alias("views")))
-    )
-
-
-STORED_TABLES = """
-    select cast(video_id as varchar) as video_id, count(*) as snapshots, max(fetched_at) as newest,
-           cast(sum(view_count) as bigint) as views
-    from video_stats group by video_id
-    union all select fetch_type, count(*), max(started_at), cast(0 as bigint) from fetch_log group by fetch_type"""
-
-EXPORTED = ["channels", "channel_stats", "videos", "video_stats", "transcripts", "comments", "playlists"]
+    """All twelve tables created, filled in two appends and created again, then read back."""
+    def work(database: str, _: str):
+        parts = []
+        for name in STORED:
+            rows = tables.conform(name, t[_source(name)])
+            key = F.pmod(F.xxhash64(*PRIMARY_KEYS[name]), F.lit(2))
+            for half in (0, 1):
+                tables.append(name, rows.filter(key == half), database)
+        tables.create_tables(t.spark, database)
+        for name, df in tables.load_catalog(t.spark, database).items():
+            parts.append(df.selectExpr(*content(STORED[name], "cast(conv({}, 16, 10) as bigint)")).select(F.lit(name).alias("table"), "rows", "checksum"))
+        return reduce(DataFrame.unionByName, parts)
+    return in_store(t, STORED, work)
+
+
+STORED_TABLES = " union all ".join(
+    f"""select '{n}' as "table", {', '.join(content(c, "cast('0x' || {} as bigint)"))} from {_source(n)}""" for n, c in STORED.items())
+
+EXPORTED = {n: CONTENTS[n] for n in EXPORT_TABLES}
 
 
 def exported_tables(t: DriverTables):
-    """All tables that may leave, written as CSV and counted again by their quoted rows."""
+    """All tables that may leave, written as CSV with quoted line breaks, read back by name and compared by content."""
     done = exports.export_tables({n: t[n] for n in [*EXPORTED, "fetch_log"]}, _fresh(t, "export"))
     reader = t.spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return _sizes({n: reader.csv(path) for n, path in done.items()})
+    parts = [reader.csv(path).selectExpr(*content(EXPORTED[n], "cast(conv({}, 16, 10) as bigint)")).select(F.lit(n).alias("table"), "rows", "checksum")
+             for n, path in done.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
-EXPORTED_TABLES = " union all ".join(f"""select '{n}' as "table", count(*) as rows from {n}""" for n in EXPORTED)
+EXPORTED_TABLES = " union all ".join(
+    f"""select '{n}' as "table", {', '.join(content(c, "cast('0x' || {} as bigint)"))} from {n}""" for n, c in EXPORTED.items())
 
 
 def exported_result(t: DriverTables):

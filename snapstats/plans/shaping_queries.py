@@ -285,15 +285,17 @@ def transcript_segments(t: DriverTables):
     segments = F.transform(lines, lambda line, i: F.struct(
         (i * 2.5).alias("start"), F.lit(2.5).alias("duration"), line.alias("text")))
     rows = shaping.transcript_rows(t["documents"].select(F.col("doc_id").alias("video_id"), segments.alias("segments")))
-    return rows.select("video_id", "full_text", "snippet_count",
-                       F.element_at("entries", -1)["end"].alias("end_seconds"))
+    return rows.select("video_id", F.md5("full_text").alias("full_text"), "snippet_count", F.posexplode("entries").alias("place", "entry")).select(
+        "video_id", "full_text", "snippet_count", "place", "entry.*")
 
 
 TRANSCRIPT_SEGMENTS = """
-    select doc_id as video_id, replace(text, chr(10), ' ') as full_text,
-           cast(len(string_split(text, chr(10))) as integer) as snippet_count,
-           len(string_split(text, chr(10))) * 2.5::double as end_seconds
-    from documents"""
+    with spoken as (
+        select doc_id, text, string_split(text, chr(10)) as lines, generate_subscripts(string_split(text, chr(10)), 1) - 1 as spot from documents)
+    select doc_id as video_id, md5(replace(text, chr(10), ' ')) as full_text, cast(len(lines) as integer) as snippet_count,
+           cast(spot as integer) as place, spot * 2.5::double as start, 2.5::double as duration, spot * 2.5::double + 2.5 as "end",
+           lines[spot + 1] as text
+    from spoken"""
 
 OUTCOMES = """
     select event_id as video_id, event_type = 'purchase' as available, event_type in ('error', 'signup') as failed,

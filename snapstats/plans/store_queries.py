@@ -221,10 +221,10 @@ CONTENTS = {
 HELD = upkeep.DESTINATIONS
 
 
-def _content_sql(name: str, number: str) -> str:
-    text = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as string), '')" for c in CONTENTS[name]) + ")"
-    digits = f"substr(md5({text}), 1, 7)"
-    return f"count(*) as rows, cast(sum({number.format(digits)}) as bigint) as checksum"
+def content(columns: list[str], number: str) -> list[str]:
+    """Row count and a sum over digests of the rows, as expressions; `number` reads hexadecimal digits in one engine's way."""
+    text = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as string), '')" for c in columns) + ")"
+    return ["count(*) as rows", f"cast(sum({number.format(f'substr(md5({text}), 1, 7)')}) as bigint) as checksum"]
 
 
 def synced_tables(t: DriverTables):
@@ -238,8 +238,7 @@ def synced_tables(t: DriverTables):
         again = sync.sync_stores(t.spark, source, tables.load_catalog(t.spark, database, SYNC_TABLES), write, incremental=True)
         stored = None
         for name, df in tables.load_catalog(t.spark, database, SYNC_TABLES).items():
-            exprs = [e.strip() for e in _content_sql(name, "cast(conv({}, 16, 10) as bigint)").split(" as rows, ")]
-            row = df.selectExpr("count(*) as rows", exprs[1]).select(F.lit(name).alias("table"), "rows", "checksum")
+            row = df.selectExpr(*content(CONTENTS[name], "cast(conv({}, 16, 10) as bigint)")).select(F.lit(name).alias("table"), "rows", "checksum")
             stored = row if stored is None else stored.unionByName(row)
         return (done.select("table", "status", "source_count", "synced", "skipped").join(again.select("table", F.col("synced").alias("synced_again")), "table")
                 .join(stored, "table"))
@@ -251,7 +250,7 @@ def _synced_sql(name: str) -> str:
     match = " and ".join(f"d.{k} = s.{k}" for k in keys)
     return f"""
     select m.*, c.rows, c.checksum from ({upkeep._sync_sql(name)}) m, (
-        select {_content_sql(name, "cast('0x' || {} as bigint)")} from (
+        select {', '.join(content(CONTENTS[name], "cast('0x' || {} as bigint)"))} from (
             select * from ({HELD[name]}) union all by name
             select s.* from {name} s where not exists (select 1 from ({HELD[name]}) d where {match}))) c"""
 
