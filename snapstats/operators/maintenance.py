@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from snapstats.functions.numeric import flag
 from snapstats.functions.timeutil import AsOf, days_before, moment, moment_for
 from snapstats.operators.keyed import (
-    first_per_key, insert_ignore, latest_per_key, merge_by_key, replace_by_parent, rows_missing,
+    first_per_key, insert_ignore, latest_per_key, merge_by_key, replace_by_parent, rows_missing, top_per_key,
 )
 from snapstats.schemas import PRIMARY_KEYS, UPDATE_COLUMNS
 
@@ -22,6 +22,8 @@ VIDEO_FLAGS = ["caption_available", "embeddable", "made_for_kids", "has_chapters
 # Tables that hold rows of a video and lose them when it is purged.
 VIDEO_TABLES = ["video_stats", "chapters", "transcripts", "comments", "video_comment_summary", "videos"]
 MAX_LOGGED_ERRORS = 10
+# Statuses of a run that ended before its time (fixed values).
+ENDINGS = ("quota_exhausted", "timeout", "failed")
 
 
 # --- metadata -------------------------------------------------------------------------------------
@@ -211,6 +213,20 @@ def error_text(errors: Column) -> Column:
     return F.when(F.size(F.coalesce(errors, F.array().cast("array<string>"))) > 0, line)
 
 
+def run_outcomes(events: DataFrame, order: str) -> DataFrame:
+    """How the run of each channel ended: (channel_id, status, errors), from its events (channel_id, kind, reason) in `order`.
+
+    The first event of a kind in ENDINGS ended the run and gives the status; without one it was completed, whatever else went
+    wrong. The first reasons are kept, of all kinds.
+    """
+    ended = F.col("kind").isin(*ENDINGS)
+    status = events.groupBy("channel_id").agg(F.min_by(F.when(ended, F.col("kind")), F.when(ended, F.col(order))).alias("status"))
+    shown = top_per_key(events.select("channel_id", order, "reason"), ["channel_id"], [F.asc(order)], MAX_LOGGED_ERRORS, [order])
+    reasons = shown.groupBy("channel_id").agg(F.sort_array(F.collect_list(F.struct(order, "reason"))).alias("_all"))
+    return status.join(reasons, "channel_id").select(
+        "channel_id", F.coalesce("status", F.lit("completed")).alias("status"), F.col("_all.reason").alias("errors"))
+
+
 def open_runs(runs: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Log events for runs that start: fetch_id, channel_id and fetch_type given, state 'running'."""
     return runs.select("fetch_id", "channel_id", "fetch_type").withColumns(

@@ -262,6 +262,11 @@ def classify_outcomes(outcomes: DataFrame) -> DataFrame:
         .otherwise("unavailable"))
 
 
+def outcome_rows(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Landed events of a channel's crawl: (channel_id, kind, reason)."""
+    return items.select("channel_id", F.col("item.kind").alias("kind"), F.coalesce("item.reason", F.lit("")).alias("reason"), *keep)
+
+
 def outcome_totals(outcomes: DataFrame) -> DataFrame:
     """How many attempts succeeded, and each other class."""
     def n(name: str) -> Column:

@@ -125,8 +125,8 @@ def _last(rows: DataFrame, key: str) -> DataFrame:
 def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10, resumable: bool = False) -> DataFrame:
     """Bring the tables up to what lies in the landing folders, and log the run per channel.
 
-    `landing` names a folder for any of channel, video, playlist (with channel_id), comment_thread and transcript (with
-    video_id). Lines that cannot be read and rows without a key are set aside and counted in the log. With `resumable` the
+    `landing` names a folder for any of channel, video, playlist and outcome (with channel_id), comment_thread and transcript
+    (with video_id). Lines that cannot be read and rows without a key are set aside and counted in the log. With `resumable` the
     landed videos are noted as done, so that the next plan leaves them out. Returns the log rows of the run.
     """
     videos = last_videos = comments = spoken = None
@@ -149,9 +149,13 @@ def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10, r
     _apply_counts(run, videos, comments)
     if "transcript" in landing:
         spoken = _apply_transcripts(run, landing, bad)
+    outcomes = None
+    if "outcome" in landing:
+        events = run.staged("outcomes", _shaped(run, landing, "outcome", "channel_id", shaping.outcome_rows, "channel_id string", bad))
+        outcomes = run.staged("endings", maintenance.run_outcomes(events, ORDER))
     if resumable and last_videos is not None:
         save_progress(run, last_videos.select("channel_id", "video_id"), "videos")
-    return _log(run, last_videos, comments, spoken, bad)
+    return _log(run, last_videos, comments, spoken, outcomes, bad)
 
 
 def _apply_channels(run: Run, landing: Mapping[str, str], bad: list[str]) -> None:
@@ -249,8 +253,10 @@ def purge(run: Run, older_than_days: int = 30, channel_id: str | None = None) ->
 
 # --- log ------------------------------------------------------------------------------------------
 
-def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None, spoken: DataFrame | None, bad: list[str]) -> DataFrame:
-    """A completed log row per channel touched, with what the run had to set aside. Its id follows from the run and the channel."""
+def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None, spoken: DataFrame | None, outcomes: DataFrame | None,
+         bad: list[str]) -> DataFrame:
+    """A log row per channel touched: how its run ended and what went wrong, its own events first, then what the whole run
+    had to set aside. Its id follows from the run and the channel."""
     owners = run.table("videos").select("video_id", "channel_id")
     counts = []
     if videos is not None:
@@ -260,6 +266,8 @@ def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None, spoken:
         counts.append(per_video.join(owners, "video_id").groupBy("channel_id").agg(F.sum("_n").alias("comments_fetched")))
     if spoken is not None:
         counts.append(spoken.select("video_id").join(owners, "video_id").groupBy("channel_id").agg(F.count(F.lit(1)).alias("transcripts_fetched")))
+    if outcomes is not None:
+        counts.append(outcomes.withColumnsRenamed({"status": "_status", "errors": "_errors"}))
     if not counts:
         return run.table("fetch_log").limit(0)
     together = counts[0]
@@ -272,9 +280,11 @@ def _log(run: Run, videos: DataFrame | None, comments: DataFrame | None, spoken:
     def count(name: str):
         return F.coalesce(name, F.lit(0)).alias(name) if name in together.columns else F.lit(0).cast("bigint").alias(name)
 
+    set_aside = F.array(*map(F.lit, bad)).cast("array<string>")
+    errors = set_aside if outcomes is None else F.concat(F.coalesce("_errors", F.array().cast("array<string>")), set_aside)
     results = together.select(
         fetch_id, count("videos_fetched"), count("comments_fetched"), count("transcripts_fetched"),
-        F.array(*map(F.lit, bad)).cast("array<string>").alias("errors"), F.lit("completed").alias("status"))
+        errors.alias("errors"), (F.coalesce("_status", F.lit("completed")) if outcomes is not None else F.lit("completed")).alias("status"))
     log = maintenance.fetch_log_from_events(maintenance.open_runs(runs, run.as_of), maintenance.close_runs(results, run.as_of))
     log = run.staged("fetch_log", conform("fetch_log", log))
     append("fetch_log", maintenance.rows_missing(log, run.table("fetch_log"), ["fetch_id"]), run.database)

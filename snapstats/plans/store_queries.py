@@ -16,6 +16,7 @@ from snapstats.plans.driver_tables import EVENTS_AS_OF, PLAN_AS_OF, STATS_AS_OF,
 from snapstats.schemas import SYNC_TABLES
 from snapstats.session import shared_folder
 from snapstats.sources import tables
+from snapstats.streaming import ingest
 
 # Few, as the test tables spread over many months and few rows.
 BUCKETS = 2
@@ -374,6 +375,50 @@ LANDED_TRANSCRIPTS = f"""
     from spoken
     union all select cast(doc_id as varchar), 'kept', null, null, 'kept', null, null, null, null, null, null from documents where doc_id % 11 = 1"""
 
+
+
+def streamed_comments(t: DriverTables):
+    """Threads that land in two lots, streamed into the stored table lot by lot, and all of them once more from the start."""
+    def work(database: str, folder: str):
+        start = F.concat(F.lit('{"video_id":"'), "video_id", F.lit('","fetched_at":"2024-02-01T06:00:00Z",'))
+        lines = t.sql(shaping_queries.THREAD_JSON).select("position", F.concat(start, F.expr("substr(json, 2)")).alias("value"))
+        broken = t["supplier"].select(F.concat(F.lit("{broken "), "s_name").alias("value"))
+        for lot in (0, 1):
+            lines.filter(F.col("position") % 2 == lot).select("value").unionByName(broken).write.mode("append").text(f"{folder}/in")
+            ingest.ingest_comments(t.spark, f"{folder}/in", f"{folder}/checkpoint", database, shaping_queries.MAX_REPLIES).awaitTermination()
+        ingest.ingest_comments(t.spark, f"{folder}/in", f"{folder}/again", database, shaping_queries.MAX_REPLIES).awaitTermination()
+        return _load(t, database, "comments").select(
+            "video_id", "comment_id", "parent_comment_id", "author_display_name", "author_channel_id", "text", "like_count", "published_at")
+    return in_store(t, ["comments"], work)
+
+
+# What went wrong, per channel: errors, signups and purchases end a run in one way each, views only warn.
+KIND = "case event_type when 'error' then 'failed' when 'signup' then 'timeout' when 'purchase' then 'quota_exhausted' else 'warning' end"
+EVENTS_LANDED = f"""
+    select to_json(named_struct('channel_id', cast(user_id as string), 'kind', {KIND}, 'reason', concat(event_type, ' ', event_id),
+                                'fetched_at', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))) as value
+    from events where event_type <> 'click'"""
+
+
+def run_outcomes(t: DriverTables):
+    """Landed events to the run log: one of four statuses and the first ten reasons of every channel."""
+    def work(database: str, folder: str):
+        path = f"{folder}/landing"
+        t.sql(EVENTS_LANDED).write.text(path)
+        jobs.apply_landing(_run(t, database, folder, as_of=DAY_1), {"outcome": path})
+        return _load(t, database, "fetch_log").select("channel_id", "fetch_type", "started_at", "completed_at", "videos_fetched", "errors", "status")
+    return in_store(t, ["fetch_log", "videos"], work)
+
+
+RUN_OUTCOMES = f"""
+    with told as (
+        select user_id as channel_id, {KIND} as kind, concat(event_type, ' ', event_id) as reason, ts, event_id from events where event_type <> 'click'),
+    ended as (select channel_id, arg_min(kind, ts) as status from told where kind <> 'warning' group by channel_id),
+    first_ten as (select *, row_number() over (partition by channel_id order by ts, event_id) as place from told)
+    select cast(channel_id as varchar) as channel_id, 'backfill' as fetch_type, timestamp '{DAY_1}' as started_at, timestamp '{DAY_1}' as completed_at,
+           cast(0 as bigint) as videos_fetched, string_agg(reason, '; ' order by place) as errors, coalesce(any_value(status), 'completed') as status
+    from first_ten left join ended using (channel_id) where place <= 10 group by channel_id"""
+
 # A later listing: urgent orders are gone from it, and listings of some customers are cut short (their announced number is higher).
 LISTED = "select o_custkey as channel_id, o_orderkey as video_id from orders where o_orderpriority <> '1-URGENT'"
 DECLARED = """
@@ -482,4 +527,6 @@ QUERIES = {
     "j01_landing_runs": (landing_runs, LANDING_RUNS),
     "j02_landed_transcripts": (landed_transcripts, LANDED_TRANSCRIPTS),
     "j03_deletion_runs": (deletion_runs, DELETION_RUNS),
+    "j05_streamed_comments": (streamed_comments, shaping_queries.COMMENT_THREADS),
+    "j04_run_outcomes": (run_outcomes, RUN_OUTCOMES),
 }

@@ -147,6 +147,8 @@ PAYLOAD_DDL = {
         f"id string, snippet struct<topLevelComment: struct<snippet: struct<{_COMMENT}>>>, "
         f"replies struct<comments: array<struct<id: string, snippet: struct<{_COMMENT}>>>>"
     ),
+    # What went wrong while a channel was crawled.
+    "outcome": "kind string, reason string",
     # An attempt at a video's transcript: the tracks on offer, the segments of the chosen one, or what went wrong.
     "transcript": (
         "tracks array<struct<language: string, language_code: string, is_generated: boolean, is_translatable: boolean>>, "
