@@ -12,8 +12,12 @@ WHITE_SPACE = (
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 DURATION = r"(?s)^PT(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S)?.*$"
+_IN_LINE = WHITE_SPACE.replace("\n", "")
+# A line of the text, from the break before it to its last character that is no white space. Groups: hours, minutes, seconds, title, and
+# the title of a line that ends in marks only. No part is tried twice over the same characters, so long lines cost linear time.
 CHAPTER_LINE = (
-    rf"(?s)^[{WHITE_SPACE}•\-\*]*([0-9]{{1,2}}:)?([0-9]{{1,2}}):([0-9]{{2}})[{WHITE_SPACE}\-:]+(.+?)$"
+    rf"(?:^|\n)[{_IN_LINE}•\-\*]*+([0-9]{{1,2}}:)?([0-9]{{1,2}}):([0-9]{{2}})"
+    rf"(?:[{_IN_LINE}\-:]++([^{WHITE_SPACE}\-:](?:[^\n]*[^{WHITE_SPACE}])?)|[{_IN_LINE}\-:]+([\-:])(?=[{_IN_LINE}]*+(?:\n|\z)))"
 )
 CHANNEL_KEY_LENGTH = 24
 CHANNEL_KEY_PREFIX = "UC"
@@ -44,27 +48,26 @@ def iso_duration_seconds(value: Column) -> Column:
 
 
 def chapter_lines(description: Column) -> Column:
-    """The lines of a description that look like chapters, stripped, in order."""
-    timed = F.filter(F.split(description, "\n"), lambda line: line.contains(":"))
-    return F.filter(F.transform(timed, strip), lambda line: line.rlike(CHAPTER_LINE))
+    """The lines of a description that look like chapters, in order, found in one pass."""
+    return F.when(description.contains(":"), F.regexp_extract_all(description, F.lit(CHAPTER_LINE), F.lit(0)))
 
 
 def has_chapter_line(description: Column) -> Column:
-    return F.exists(F.split(description, "\n"), lambda line: line.contains(":") & strip(line).rlike(CHAPTER_LINE))
+    return description.contains(":") & description.rlike(CHAPTER_LINE)
 
 
-def chapter_marks(description: Column) -> Column:
-    """Array of (title, start_seconds), one per chapter-like line, in the order of the lines."""
-    # One match per line: its groups side by side, the title last because it may hold anything.
-    groups = F.transform(
-        chapter_lines(description), lambda line: F.split(F.regexp_replace(line, CHAPTER_LINE, "$1|$2|$3|$4"), r"\|", 4))
+def chapter_mark(line: Column) -> Column:
+    """(title, start_seconds) of one of the lines."""
+    # Its groups side by side, the title last because it may hold anything.
+    g = F.split(F.regexp_replace(line, CHAPTER_LINE, "$1|$2|$3|$4$5"), r"\|", 4)
+    hours = F.when(g[0] != "", F.rtrim(g[0], F.lit(":")).cast("bigint")).otherwise(F.lit(0))
+    seconds = hours * 3600 + g[1].cast("bigint") * 60 + g[2].cast("bigint")
+    return F.struct(g[3].alias("title"), seconds.alias("start_seconds"))
 
-    def mark(g: Column) -> Column:
-        hours = F.when(g[0] != "", F.rtrim(g[0], F.lit(":")).cast("bigint")).otherwise(F.lit(0))
-        seconds = hours * 3600 + g[1].cast("bigint") * 60 + g[2].cast("bigint")
-        return F.struct(g[3].alias("title"), seconds.alias("start_seconds"))
 
-    return F.transform(groups, mark)
+def chapter_marks(description: Column) -> Column:
+    """Array of (title, start_seconds) of one description; `chapter_rows` turns whole tables into rows without a lambda."""
+    return F.transform(F.coalesce(chapter_lines(description), F.when(description.isNotNull(), F.array().cast("array<string>"))), chapter_mark)
 
 
 def identifier_kind(identifier: Column) -> Column:

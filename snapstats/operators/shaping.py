@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapstats.functions.numeric import count_or_zero, flag, percent
 from snapstats.functions.text import (
-    chapter_marks, has_chapter_line, identifier_kind, identifier_value, iso_duration_seconds,
+    chapter_lines, chapter_mark, has_chapter_line, identifier_kind, identifier_value, iso_duration_seconds,
 )
 from snapstats.functions.timeutil import parse_timestamp
 from snapstats.operators.keyed import top_per_key
@@ -100,16 +100,19 @@ def chapter_rows(videos: DataFrame) -> DataFrame:
     """Chapters of each video: one per chapter-like line of the description, in line order.
 
     A chapter ends where the next begins; the last ends with the video, or is open without a duration.
-    The marks sit in one array of the row, so looking at the next one needs no window and no shuffle.
+    Every line travels with the one after it, so looking at the next mark needs no window and no shuffle.
     """
-    duration, marks = F.col("duration_seconds"), F.col("_marks")
+    duration, lines = F.col("duration_seconds"), F.col("_lines")
+    following = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
     return (
-        videos.select("video_id", duration, chapter_marks(F.col("description")).alias("_marks"))
-        .select("video_id", duration, marks, F.posexplode(marks).alias("chapter_index", "_mark"))
+        videos.select("video_id", duration, chapter_lines(F.col("description")).alias("_lines"))
+        .filter(F.size(lines) > 0)
+        .select("video_id", duration, F.posexplode(F.arrays_zip(lines.alias("line"), following.alias("next"))).alias("chapter_index", "_at"))
+        .select("video_id", duration, "chapter_index", F.col("_at.line").alias("_line"), F.col("_at.next").alias("_next"))
         .select(
-            "video_id", "chapter_index", F.col("_mark.title").alias("title"),
-            F.col("_mark.start_seconds").alias("start_seconds"),
-            F.when(F.col("chapter_index") < F.size(marks) - 1, F.get(marks, F.col("chapter_index") + 1)["start_seconds"])
+            "video_id", "chapter_index", chapter_mark(F.col("_line"))["title"].alias("title"),
+            chapter_mark(F.col("_line"))["start_seconds"].alias("start_seconds"),
+            F.when(F.col("_next").isNotNull(), chapter_mark(F.col("_next"))["start_seconds"])
             .when(duration != 0, duration).alias("end_seconds"),
         )
     )
@@ -164,12 +167,17 @@ def capped_threads(threads: DataFrame, max_results: int = 500, max_replies: int
     """Threads of each video, by `position`, until `max_results` comments are reached.
 
     A thread is taken whole while fewer were taken before it, so the cap may be passed by its replies.
-    Every thread counts at least one, so the first `max_results` threads are enough to decide.
+    Every thread counts at least one, so the first `max_results` threads are enough to decide. That is settled on keys and sizes;
+    the threads themselves only meet the keys that stay. Threads that share video and position stay or go together.
     """
-    head = top_per_key(threads, ["video_id"], [F.asc("position")], max_results, ["video_id", "position"])
+    keys = ["video_id", "position"]
+    sizes = threads.groupBy(*keys).agg(F.sum(F.size(kept_replies(F.col("item"), max_replies)) + 1).alias("_size"))
+    head = top_per_key(sizes, ["video_id"], [F.asc("position")], max_results, keys)
     window = Window.partitionBy("video_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
-    taken = F.sum(F.size(kept_replies(F.col("item"), max_replies)) + 1).over(window)
-    return head.withColumn("_taken", F.coalesce(taken, F.lit(0))).filter(F.col("_taken") < max_results).drop("_taken")
+    kept = head.withColumn("_taken", F.coalesce(F.sum("_size").over(window), F.lit(0))).filter(F.col("_taken") < max_results)
+    kept = kept.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = [threads[k].eqNullSafe(kept[f"_{k}"]) for k in keys]
+    return threads.join(kept, same[0] & same[1], "left_semi")
 
 
 def choose_track(tracks: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:

@@ -97,3 +97,22 @@ def test_json_lists(spark):
         ["a", "b"], [], [], [], []]
     assert evaluate(spark, [["a"], [], None], "array<string>", text.list_to_json) == ['["a"]', "[]", "[]"]
     assert evaluate(spark, ['{"a": 1}', "", None], "string", text.json_to_map) == [{"a": 1}, {}, {}]
+
+
+def test_chapter_lines_against_plain_lines(spark):
+    import random
+    import re
+    rng = random.Random(5)
+    bits = ["0:00", "12:34", "1:02:03", "5", ":", "-", "•", "*", " ", "\t", "\r", "\x85", " ", "　", "\n", "\n", "x", "title|", "é", "--", " - "]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + [None, "", "0:00" + " " * 50_000, "0:00 -" + " " * 50_000 + "\n1:00 -- -"]
+    white = text.WHITE_SPACE
+    line_form = re.compile(rf"[{white}•\-*]*([0-9]{{1,2}}:)?([0-9]{{1,2}}):([0-9]{{2}})[{white}\-:]+(.+?)\Z", re.S)
+
+    def plain(value):
+        found = [m for line in value.split("\n") if len(line) < 100 or line.strip(white) == "0:00 -" for m in [line_form.match(line.strip(white))] if m]
+        return [(m[4], int((m[1] or "0:")[:-1]) * 3600 + int(m[2]) * 60 + int(m[3])) for m in found]
+    got = evaluate(spark, texts, "string", text.chapter_marks)
+    for value, marks in zip(texts, got):
+        assert ([tuple(m) for m in marks] if marks else []) == (plain(value) if value else []), repr(value)
+    flags = evaluate(spark, texts, "string", text.has_chapter_line)
+    assert [bool(f) for f in flags] == [bool(m) for m in got]

@@ -110,3 +110,9 @@ def test_outcomes(spark, rows):
     assert rows(shaping.outcome_totals(classed)) == [(12, 1, 2, 1, 7, 1, 8.3)]
     shown = {r["outcome"]: [e["video_id"] for e in r["examples"]] for r in shaping.failure_breakdown(classed).collect()}
     assert shown == {"blocked": [0, 1, 2], "disabled": [11], "unavailable": [12, 14], "error": [13]}
+
+
+def test_cap_settles_on_keys_only(spark):
+    plan = shaping.capped_threads(threads_frame(spark, [(1, 0, thread("a"))]), 3)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line]
+    assert windows and not any("item" in line for line in windows)
