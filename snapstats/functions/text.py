@@ -66,8 +66,8 @@ def chapter_mark(line: Column) -> Column:
 
 
 def chapter_marks(description: Column) -> Column:
-    """Array of (title, start_seconds) of one description; `chapter_rows` turns whole tables into rows without a lambda."""
-    return F.transform(F.coalesce(chapter_lines(description), F.when(description.isNotNull(), F.array().cast("array<string>"))), chapter_mark)
+    """Array of (title, start_seconds), one per chapter-like line, in the order of the lines; NULL without any place for one."""
+    return F.transform(chapter_lines(description), chapter_mark)
 
 
 def identifier_kind(identifier: Column) -> Column:
