@@ -4,8 +4,10 @@ Texts and items are sequences of lower-cased alphanumeric words. The CGK embeddi
 current word and moves on if a random bit of (j, word) says so; two windows at edit distance e fall into step again
 after about e^2 steps, so their embeddings are near in Hamming distance. SAMPLES coordinates of an embedding are a bucket
 key; REPEATS independent walks and samples bring the chance to meet an item within the tolerance over TARGET_RECALL (measured in
-the tests). Items are embedded by the windows at their two ends, texts by windows of the item's size class
+the tests). Items are embedded by windows side by side and one at their end, texts by windows of the item's size class
 (shorter at the end of a text, by as many words as a leak may have lost).
+Windows hold at most LARGEST words: over longer ones the walks of an item with many edits fall out of step for good, while some
+window of LARGEST words always has no more than its share of the edits.
 Every pair that meets in a bucket is verified by the exact edit distance of the whole item to the text around the window.
 
 A window within the tolerance shares GRAM consecutive words with the item (the matching words fall into at most e + 1 runs), so
@@ -35,6 +37,7 @@ GRAM = 4
 SAMPLES, REPEATS = 3, 24
 TARGET_RECALL = 0.98
 ITEM_BLOCK = 50_000
+LARGEST = 32
 CLASSES = np.unique((4 * 2 ** (np.arange(0, 40) / 2)).astype(np.int64))
 _rng = np.random.default_rng(40961)
 _SEEDS = _rng.integers(1, 1 << 63, (REPEATS, 4096), dtype=np.uint64)
@@ -46,7 +49,12 @@ def tolerance(words: int) -> int:
 
 
 def size_class(words: int) -> int:
-    return int(CLASSES[np.searchsorted(CLASSES, words, "right") - 1])
+    return min(LARGEST, int(CLASSES[np.searchsorted(CLASSES, words, "right") - 1]))
+
+
+def window_places(words: int, size: int) -> list[int]:
+    """Where the windows of an item begin: side by side, the last one at the item's end."""
+    return [*range(0, words - size, size), words - size]
 
 
 def bucket_keys(words: np.ndarray, starts: np.ndarray, size: int, ends: np.ndarray | None = None) -> np.ndarray:
@@ -105,11 +113,12 @@ class Items:
         keys, items, offs = [], [], []
         for c in kinds:
             own = np.flatnonzero(usable & (classes == c))
-            for off in (np.zeros(len(own), np.int64), counts[own] - c):
-                k = bucket_keys(words.hash, words.offsets[own] + off, int(c))
-                keys.append(k.ravel())
-                items.append(np.repeat(own, REPEATS))
-                offs.append(np.repeat(off, REPEATS))
+            places = [window_places(int(n), int(c)) for n in counts[own]]
+            off = np.array([p for row in places for p in row], np.int64)
+            own = np.repeat(own, [len(row) for row in places])
+            keys.append(bucket_keys(words.hash, words.offsets[own] + off, int(c)).ravel())
+            items.append(np.repeat(own, REPEATS))
+            offs.append(np.repeat(off, REPEATS))
         self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         order = np.argsort(self.keys, kind="stable")
         self.keys = self.keys[order]
