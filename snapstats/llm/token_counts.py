@@ -6,7 +6,8 @@ further than one character behind its end) until a border falls on an old border
 text split alike. Only these pre-tokens are encoded again, their leaves replaced and the sums above them updated.
 
 Edits are an array column of structs (at, cut, put) in code points: cut characters at `at` are replaced by `put`, one edit after
-another on the result so far. Positions and lengths outside the text are clipped to it.
+another on the result so far. Positions and lengths outside the text are clipped to it. Trees can be kept as a table (the text and
+its leaves); later edits (`apply_edits`) start from there.
 
 Edge cases: NULL and empty texts are a tree without leaves and count 0; NULL edits, and an edit with a NULL position, change nothing; NULL cut or put
 are 0 and ''; repeated rows and NULL ids are documents of their own; other columns are ignored, whatever their names.
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapstats.llm.bpe import encoding, read_ranks
-from snapstats.llm.common import ship, text_pieces
+from snapstats.llm.common import ship, stored, text_pieces
 from snapstats.llm.pretokens import PreTokens
 
 BLOCK = 64
@@ -186,13 +187,42 @@ class Counter:
         return np.array(counts, np.int64)[back] if counts else np.zeros(0, np.int64)
 
 
+def _apply(rows: pa.RecordBatch, trees: Iterator[Tree], keep_trees: bool) -> pa.RecordBatch:
+    """The edits of every row applied to its tree."""
+    out = []
+    for tree, changes in zip(trees, rows.column("_edits").to_pylist()):
+        before = tree.total()
+        for change in changes or ():
+            if change is not None and change["at"] is not None:
+                tree.edit(change["at"], change["cut"] or 0, change["put"] or "")
+        row = [before, tree.total(), sum(map(len, tree.counts)), tree.encoded]
+        if keep_trees:
+            row += ["".join(tree.texts), np.concatenate(tree.lengths), np.concatenate(tree.counts)]
+        out.append(row)
+    kinds = [pa.int64()] * 4 + ([pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())] if keep_trees else [])
+    names = ["n_before", "n_tokens", "n_pretokens", "n_encoded"] + (["text", "lengths", "counts"] if keep_trees else [])
+    carried = ["carried"] if "carried" in rows.schema.names else []
+    return pa.RecordBatch.from_arrays([rows.column("_doc"), *(rows.column(c) for c in carried), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
+                                      ["_doc", *carried, *names])
+
+
+def _picked(docs: DataFrame, edits: Column, id_col: str, carry: Column | None, **more: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("_doc"), edits.cast("array<struct<at:int,cut:int,put:string>>").alias("_edits"),
+                       *(F.col(c).alias(name) for name, c in more.items()), *([] if carry is None else [carry.alias("carried")]))
+
+
+def _schema(picked: DataFrame, keep_trees: bool) -> str:
+    carried = f", carried {picked.schema['carried'].dataType.simpleString()}" if "carried" in picked.columns else ""
+    return (f"_doc bigint{carried}, n_before bigint, n_tokens bigint, n_pretokens bigint, n_encoded bigint"
+            + (", text string, lengths array<int>, counts array<int>" if keep_trees else ""))
+
+
 def edited_counts(docs: DataFrame, edits: Column, id_col: str = "doc_id", text: str = "text", rank_path: str | None = None,
-                  keep_trees: bool = False) -> DataFrame:
+                  keep_trees: bool = False, carry: Column | None = None) -> DataFrame:
     """One row per row of `docs`: id, n_before, n_tokens (after the edits), n_pretokens, n_encoded (pre-tokens encoded again); with
-    `keep_trees` also the edited text and its leaves, lengths and counts.
+    `keep_trees` also the edited text and its leaves, lengths and counts, for `apply_edits`. `carry` is returned as `carried`.
     """
     table = ship(docs).sparkSession.sparkContext.broadcast(tuple(read_ranks(rank_path)))
-    extra = ", text string, lengths array<int>, counts array<int>" if keep_trees else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(table.value)
@@ -200,34 +230,57 @@ def edited_counts(docs: DataFrame, edits: Column, id_col: str = "doc_id", text:
             p = PreTokens(data, offsets)
             raw = data.tobytes()
             counts = counter.of_all(p, raw)
-            out = []
-            for d, changes in enumerate(rows.column("_edits").to_pylist()):
-                own = slice(p.offsets[d], p.offsets[d + 1])
-                tree = Tree(raw[offsets[d]:offsets[d + 1]].decode(), p.points[own], counts[own], counter.of_text)
-                before = tree.total()
-                for change in changes or ():
-                    if change is not None and change["at"] is not None:
-                        tree.edit(change["at"], change["cut"] or 0, change["put"] or "")
-                row = [before, tree.total(), sum(map(len, tree.counts)), tree.encoded]
-                if keep_trees:
-                    row += ["".join(tree.texts), np.concatenate(tree.lengths), np.concatenate(tree.counts)]
-                out.append(row)
-            columns = list(zip(*out))
-            kinds = [pa.int64()] * 4 + ([pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())] if keep_trees else [])
-            names = ["n_before", "n_tokens", "n_pretokens", "n_encoded"] + (["text", "lengths", "counts"] if keep_trees else [])
-            yield pa.RecordBatch.from_arrays([rows.column("_doc"), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["_doc", *names])
-
-    picked = docs.select(F.col(id_col).cast("bigint").alias("_doc"), F.col(text).alias("_text"),
-                         edits.cast("array<struct<at:int,cut:int,put:string>>").alias("_edits"))
-    return picked.mapInArrow(run, f"_doc bigint, n_before bigint, n_tokens bigint, n_pretokens bigint, n_encoded bigint{extra}").withColumnRenamed("_doc", id_col)
+            yield _apply(rows, (Tree(raw[offsets[d]:offsets[d + 1]].decode(), p.points[own], counts[own], counter.of_text)
+                                for d in range(rows.num_rows) for own in (slice(p.offsets[d], p.offsets[d + 1]),)), keep_trees)
+
+    picked = _picked(docs, edits, id_col, carry, _text=text)
+    return picked.mapInArrow(run, _schema(picked, keep_trees)).withColumnRenamed("_doc", id_col)
+
+
+def apply_edits(kept: DataFrame, edits: Column, id_col: str = "doc_id", rank_path: str | None = None, keep_trees: bool = False,
+                carry: Column | None = None) -> DataFrame:
+    """Edits on trees kept by an earlier call: columns as of `edited_counts`, whose text, lengths and counts `kept` has.
+
+    The sums are rebuilt from the leaves and nothing is split or encoded but what the edits touch. A row whose leaves are NULL
+    or do not make up its text has no tree; its text is encoded whole, which n_encoded counts.
+    """
+    table = ship(kept).sparkSession.sparkContext.broadcast(tuple(read_ranks(rank_path)))
+
+    def grown(data: np.ndarray, counter: Counter) -> Tree:
+        p = PreTokens(data, np.array([0, len(data)]))
+        tree = Tree(data.tobytes().decode(), p.points, counter.of_all(p, data.tobytes()), counter.of_text)
+        tree.encoded = len(p.points)
+        return tree
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(table.value)
+
+        def trees(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> Iterator[Tree]:
+            for d, (lengths, counts) in enumerate(zip(rows.column("_lengths"), rows.column("_counts"))):
+                part = data[offsets[d]:offsets[d + 1]]
+                own = part.tobytes().decode()
+                if lengths.values is None or counts.values is None or lengths.values.null_count or counts.values.null_count:
+                    yield grown(part, counter)
+                    continue
+                n, tokens = (x.values.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lengths, counts))
+                fits = len(n) == len(tokens) and n.sum() == len(own) and (n > 0).all()
+                yield Tree(own, n, tokens, counter.of_text) if fits else grown(part, counter)
+
+        for rows, data, offsets in text_pieces(batches, "_text"):
+            yield _apply(rows, trees(rows, data, offsets), keep_trees)
+
+    picked = _picked(kept, edits, id_col, carry, _text="text", _lengths="lengths", _counts="counts")
+    return picked.mapInArrow(run, _schema(picked, keep_trees)).withColumnRenamed("_doc", id_col)
 
 
 def op5_token_counts(docs: DataFrame) -> DataFrame:
-    """Counts of every document before and after three edits that its own row gives: a source line in the middle, a cut
-    of 40 characters at a quarter, and the language put before the text."""
+    """Counts of every document before and after three edits that its own row gives: a source line in the middle, then, on the
+    stored trees, a cut of 40 characters at a quarter and the language put before the text."""
     n = F.length("text")
-    edits = F.array(
-        F.struct(F.floor(n / 2).alias("at"), F.lit(0).alias("cut"), F.concat(F.lit("\nSource: "), F.col("source"), F.lit("\n")).alias("put")),
-        F.struct(F.floor(n / 4).alias("at"), F.lit(40).alias("cut"), F.lit("").alias("put")),
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("cut"), F.concat(F.col("lang"), F.lit(": ")).alias("put")))
-    return edited_counts(docs, edits)
+    first = F.array(F.struct(F.floor(n / 2).alias("at"), F.lit(0).alias("cut"), F.concat(F.lit("\nSource: "), F.col("source"), F.lit("\n")).alias("put")))
+    trees = stored(edited_counts(docs, first, keep_trees=True, carry=F.struct(n.alias("n"), F.col("lang").alias("lang"))), "trees")
+    later = F.array(
+        F.struct(F.floor(F.col("carried.n") / 4).alias("at"), F.lit(40).alias("cut"), F.lit("").alias("put")),
+        F.struct(F.lit(0).alias("at"), F.lit(0).alias("cut"), F.concat(F.col("carried.lang"), F.lit(": ")).alias("put")))
+    return apply_edits(trees, later, carry=F.struct("n_before", "n_encoded")).select(
+        "doc_id", F.col("carried.n_before").alias("n_before"), "n_tokens", "n_pretokens", (F.col("carried.n_encoded") + F.col("n_encoded")).alias("n_encoded"))

@@ -56,3 +56,40 @@ def test_whole_table(spark):
     assert {r.doc_id: (r.n_before, r.n_tokens) for r in tc.op5_token_counts(docs).collect()} == want
     empty = tc.op5_token_counts(docs.limit(0))
     assert empty.count() == 0
+
+
+def test_later_edits_use_the_kept_trees(spark):
+    rng = random.Random(19)
+    make = lambda n: "".join(rng.choice(PARTS) for _ in range(rng.randint(0, n)))
+    edits = lambda n: [(rng.randint(-3, n + 5), rng.choice([0, 1, 5, 50]), rng.choice(["", " ", make(6)])) for _ in range(rng.randint(0, 4))]
+    rows = [(i, make(rng.choice([5, 300])), edits(900), edits(900)) for i in range(200)]
+    rows += [(None, None, None, None), (500, "", None, [(0, 0, "put")]), (501, "whole", [None], None), (501, "whole", [None], None)]
+    kind = "array<struct<at:int,cut:int,put:string>>"
+    df = spark.createDataFrame(rows, f"doc_id bigint, text string, e {kind}, f {kind}").withColumn("lengths", F.lit("x")).withColumn("carried", F.lit(1))
+    kept = tc.edited_counts(df, F.col("e"), keep_trees=True, carry=F.struct("f", F.lit(None).cast("int").alias("nothing")))
+    twice = tc.apply_edits(kept, F.col("carried.f"), keep_trees=True, carry=F.col("carried.nothing")).collect()
+    enc = bpe.encoding(tuple(bpe.read_ranks()))
+    order = lambda r: (-1 if r[0] is None else r[0], r[-1])
+    want = [(i, len(enc.encode_ordinary(edited(t, e))), len(enc.encode_ordinary(edited(edited(t, e), f))), edited(edited(t, e), f)) for i, t, e, f in rows]
+    assert sorted(((r.doc_id, r.n_before, r.n_tokens, r.text) for r in twice), key=order) == sorted(want, key=order)
+    for r in twice:
+        assert [len(w) for w in tc.SPLIT.findall(r.text)] == list(r.lengths) and sum(r.counts) == r.n_tokens
+    still = tc.apply_edits(kept.where("doc_id IS NOT NULL"), F.lit(None)).agg(F.sum("n_encoded"), F.count("*")).first()
+    assert tuple(still) == (0, len(rows) - 1)
+    assert tc.apply_edits(kept.limit(0), F.col("carried.f")).count() == 0
+
+
+def test_kept_tree_of_a_long_text(spark):
+    text = "some words of a long text " * 60000
+    edit = lambda at: F.array(F.struct(F.lit(at).alias("at"), F.lit(3).alias("cut"), F.lit("xy").alias("put")))
+    kept = tc.edited_counts(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), edit(50000), keep_trees=True)
+    row = tc.apply_edits(kept, edit(900000)).first()
+    new = edited(edited(text, [(50000, 3, "xy")]), [(900000, 3, "xy")])
+    assert row.n_encoded < 12 and row.n_tokens == len(bpe.encoding(tuple(bpe.read_ranks())).encode_ordinary(new))
+
+
+def test_rows_without_a_fitting_tree_are_encoded_whole(spark):
+    rows = [(1, "a few words", None, None), (2, "a few words", [1], [1]), (3, "a few words", [1, 4, 6], [1, 1, None]), (4, None, None, [1]), (5, "ab", [2], [1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lengths array<int>, counts array<int>")
+    got = {r.doc_id: (r.n_before, r.n_tokens, r.n_encoded) for r in tc.apply_edits(df, F.lit(None)).collect()}
+    assert got == {1: (3, 3, 3), 2: (3, 3, 3), 3: (3, 3, 3), 4: (0, 0, 0), 5: (1, 1, 0)}
