@@ -220,6 +220,15 @@ class Automaton:
         self.rows = [[int(x) for x in row[self.byte_class]] for row in step]
         self.first = np.array([self.rows[self.start][b] != DEAD for b in range(256)])
 
+    def run(self, text: bytes, state: int) -> int:
+        """State behind `text`, or the accepting state as soon as it is met."""
+        rows, accept = self.rows, self.accept.tolist()
+        for byte in text:
+            state = rows[state][byte]
+            if accept[state]:
+                break
+        return state
+
     def longest(self, text: bytes, at: int) -> int:
         """End of the longest match that starts at `at`, or -1."""
         state, end, rows, accept = self.start, -1, self.rows, self.accept

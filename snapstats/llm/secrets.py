@@ -7,7 +7,7 @@ byte of each per step: every byte is read once whatever the number of rules. Pie
 in a long counted tail, the combined automaton stops at the tail's start, so counters of several rules do not multiply.
 
 Edge cases: NULL and empty texts have no spans; spans are in code points, end exclusive; matches are whole texts' matches,
-since no match crosses a cut; repeated rows and NULL ids are scanned like all others; other columns are ignored.
+since no match crosses a cut; a long text without such a byte is one piece, run byte by byte; repeated rows and NULL ids are scanned like all others; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +50,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 LANE_BYTES = 2048
+# With so few pieces left a step over arrays costs more than their bytes one by one.
+FEW_LANES = 64
 
 
 class Scanner:
@@ -84,9 +86,12 @@ class Scanner:
         state = np.full(len(start), self.all.start, np.int32)
         running = np.searchsorted(-length, -np.arange(1, (int(length[0]) if len(length) else 0) + 1), "right")
         at = start.copy()
-        for k in running.tolist():
+        together = int(np.count_nonzero(running > FEW_LANES))
+        for k in running[:together].tolist():
             state[:k] = step[state[:k] * width + symbols[at[:k]]]
             at[:k] += 1
+        for j in range(int(running[together]) if together < len(running) else 0):
+            state[j] = self.all.run(data[at[j]:end[j]].tobytes(), int(state[j]))
         hit = np.flatnonzero(self.all.accept[state])
         return sorted(zip(start[hit].tolist(), end[hit].tolist()))
 
