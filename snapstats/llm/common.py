@@ -60,6 +60,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*steps: DataFrame) -> None:
+    """Delete the files of `stored` tables that nothing reads any more; tables stored later do not depend on them."""
+    for step in steps:
+        spark = step.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in step.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hinted(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it has at most `limit` rows; else a shuffled join is left to Spark."""
     rows = df.count() if rows is None else rows
