@@ -278,7 +278,7 @@ def op5_token_counts(docs: DataFrame) -> DataFrame:
     stored trees, a cut of 40 characters at a quarter and the language put before the text."""
     n = F.length("text")
     first = F.array(F.struct(F.floor(n / 2).alias("at"), F.lit(0).alias("cut"), F.concat(F.lit("\nSource: "), F.col("source"), F.lit("\n")).alias("put")))
-    trees = stored(edited_counts(docs, first, keep_trees=True, carry=F.struct(n.alias("n"), F.col("lang").alias("lang"))), "trees")
+    trees = stored(edited_counts(docs, first, keep_trees=True, carry=F.struct(n.alias("n"), F.col("lang").alias("lang"))), "trees", "zstd")
     later = F.array(
         F.struct(F.floor(F.col("carried.n") / 4).alias("at"), F.lit(40).alias("cut"), F.lit("").alias("put")),
         F.struct(F.lit(0).alias("at"), F.lit(0).alias("cut"), F.concat(F.col("carried.lang"), F.lit(": ")).alias("put")))
