@@ -21,6 +21,8 @@ COMMENT_TIERS: list[Tier] = [(2, 6), (7, 12), (30, 48), (None, 168)]
 STATS_TIERS: list[Tier] = [(2, 0), (7, 6), (30, 12), (None, 24)]
 COMMENT_HOURS_OTHERWISE = 168
 STATS_HOURS_OTHERWISE = 24
+# So many first characters of a sought name are compared before whole names are; few enough for a small list of them.
+NEEDLE_START = 4
 
 
 def _newest_first() -> list[Column]:
@@ -253,13 +255,22 @@ def resolve_channels(identifiers: DataFrame, channels: DataFrame) -> DataFrame:
     anything = needles.filter(F.col("needle") == "").select("identifier")
     needles = needles.filter(F.col("needle") != "")
 
-    # Containing a needle is having a part of its length that equals it, so only parts of those lengths are looked at.
-    lengths = needles.agg(F.coalesce(F.collect_set(F.length("needle")), F.array().cast("array<int>"))).scalar()
-    parts = F.flatten(F.transform(F.filter(F.col("_lengths"), lambda n: n <= F.length("_text")), lambda n: F.transform(
-        F.sequence(F.lit(1), F.length("_text") - n + 1), lambda i: F.substring(F.col("_text"), i, n))))
+    # Containing a needle is having a part of its length that equals it, so only parts of those lengths are looked at, at places
+    # where some needle can begin. A text unfolds to many parts: the texts, often one small file, are dealt over all tasks first.
+    sizes = needles.agg(F.coalesce(F.collect_set(F.length("needle")), F.array().cast("array<int>")).alias("all"),
+                        F.least(F.min(F.length("needle")), F.lit(NEEDLE_START)).alias("start"))
+    lengths, start = sizes.select("all").scalar(), F.coalesce(sizes.select("start").scalar(), F.lit(0))
+    starts = needles.select(F.substring(F.col("needle"), F.lit(1), start).alias("_start")).distinct()
+    spread = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = (
+        texts.groupBy("_text").agg(F.min("channel_id").alias("channel_id")).repartition(spread)
+        .select("channel_id", "_text", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)))).alias("_at"))
+        .select("channel_id", F.substring(F.col("_text"), F.col("_at"), F.array_max(lengths)).alias("_end"))
+        .withColumn("_start", F.substring(F.col("_end"), F.lit(1), start)).join(starts, "_start", "left_semi")
+    )
     contained = (
-        texts.select("channel_id", "_text", lengths.alias("_lengths"))
-        .select("channel_id", F.explode(F.array_distinct(parts)).alias("needle"))
+        ends.select("channel_id", "_end", F.explode(lengths).alias("_n")).filter(F.col("_n") <= F.length("_end"))
+        .select("channel_id", F.substring(F.col("_end"), F.lit(1), F.col("_n")).alias("needle"))
         .join(needles.select("needle").distinct(), "needle", "left_semi")
         .groupBy("needle").agg(F.min("channel_id").alias("channel_id"))
         .join(needles, "needle").select("identifier", "channel_id")

@@ -130,6 +130,16 @@ def test_resolve_against_brute_force(spark):
     assert {r["identifier"]: r["channel_id"] for r in found} == {g: brute(g) for g in given}
 
 
+def test_parts_of_names_are_dealt_over_all_tasks(spark, rows):
+    channels = spark.range(40).coalesce(1).select(F.col("id").alias("channel_id"), F.concat(F.lit("@name_"), F.col("id")).alias("custom_url"),
+                                                  F.lit("Shared title").alias("title"))
+    given = spark.createDataFrame([("@name_3",), ("AME_39",), ("ed",), ("title x",), ("7",), ("\u00e9",)], "identifier string")
+    found = planning.resolve_channels(given, channels)
+    assert dict(rows(found)) == {"@name_3": 3, "AME_39": 39, "ed": 0, "title x": None, "7": 7, "\u00e9": None}
+    # A list of channels in one file used to be unfolded by one task.
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+
+
 def test_large_limits_take_the_salted_path(spark, rows):
     listing = spark.range(5000).select(F.lit(1).alias("channel_id"), F.col("id").alias("video_id"), F.col("id").alias("position"))
     first = planning.first_listed(listing, 1500)
