@@ -81,8 +81,8 @@ def summary_after_stats(summary: DataFrame, batch: DataFrame, whole_table: bool
     A batch that arrives late does not move a video back: the newer of summary and batch stays. Of rows of one video and time the
     largest count holds.
     """
-    counted = _counts_filled(batch).groupBy("video_id", "fetched_at").agg(F.max("comment_count").alias("comment_count"))
-    latest = latest_per_key(counted, ["video_id"], "fetched_at", ["comment_count"], unique=True).select(
+    # One fold by (time, count): a grouping by both before it would hold one hash map more of the whole batch in every task.
+    latest = latest_per_key(_counts_filled(batch), ["video_id"], "fetched_at", ["comment_count"]).select(
         "video_id", F.lit(0).cast("bigint").alias("stored_comment_count"),
         F.col("comment_count").alias("latest_youtube_comment_count"), F.col("fetched_at").alias("last_stats_fetch"))
     return merge_by_key(summary, latest, ["video_id"], ["latest_youtube_comment_count", "last_stats_fetch"],
