@@ -65,10 +65,11 @@ def _counts_filled(stats: DataFrame) -> DataFrame:
     return stats.na.fill(0, [c for c in STAT_COUNTS if c in stats.columns])
 
 
-def new_stats(table: str, current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:
-    """Snapshot rows to append: missing counts are 0, known (key, time) pairs are left out."""
-    keys = PRIMARY_KEYS[table]
-    return rows_missing(first_per_key(_counts_filled(batch), keys, order), current, keys)
+def new_stats(table: str, current: DataFrame, batch: DataFrame, order: Column | str | None = None, unique: bool = False) -> DataFrame:
+    """Snapshot rows to append: missing counts are 0, known (key, time) pairs are left out. `unique` promises that no two rows
+    of the batch share a key, as in one folded and stored before; then it is not folded again (so in the next three too)."""
+    keys, filled = PRIMARY_KEYS[table], _counts_filled(batch)
+    return rows_missing(filled if unique else first_per_key(filled, keys, order), current, keys)
 
 
 def insert_stats(table: str, current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:
@@ -91,10 +92,10 @@ def summary_after_stats(summary: DataFrame, batch: DataFrame, whole_table: bool
 
 # --- comments and transcripts ---------------------------------------------------------------------
 
-def new_comments(current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:
+def new_comments(current: DataFrame, batch: DataFrame, order: Column | str | None = None, unique: bool = False) -> DataFrame:
     """Comments to append; the first text and like count seen of a comment stay."""
     filled = batch.na.fill(0, ["like_count"]) if "like_count" in batch.columns else batch
-    return rows_missing(first_per_key(filled, ["comment_id"], order), current, ["comment_id"])
+    return rows_missing(filled if unique else first_per_key(filled, ["comment_id"], order), current, ["comment_id"])
 
 
 def insert_comments(current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:
@@ -125,9 +126,9 @@ def summary_after_comments(summary: DataFrame, inserted: DataFrame, batch: DataF
     return raised.unionByName(fresh, allowMissingColumns=True)
 
 
-def new_transcripts(current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:
+def new_transcripts(current: DataFrame, batch: DataFrame, order: Column | str | None = None, unique: bool = False) -> DataFrame:
     """Transcripts to append: a stored transcript is never replaced."""
-    return rows_missing(first_per_key(batch, ["video_id"], order), current, ["video_id"])
+    return rows_missing(batch if unique else first_per_key(batch, ["video_id"], order), current, ["video_id"])
 
 
 def insert_transcripts(current: DataFrame, batch: DataFrame, order: Column | str | None = None) -> DataFrame:

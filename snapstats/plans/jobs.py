@@ -197,9 +197,9 @@ def _apply_transcripts(run: Run, landing: Mapping[str, str], bad: list[str]) ->
     attempts = run.staged("attempts", _shaped(run, landing, "transcript", "video_id", shaping.transcript_attempts, "video_id string", bad))
     failed = attempts.filter(F.col("outcome") != "success").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
     bad += [f"transcript: {r['n']} {r['outcome']}" for r in failed.orderBy("outcome").collect()]
-    found = first_per_key(attempts.filter(F.col("outcome") == "success").drop("outcome", "reason"), ["video_id"], ORDER)
+    found = attempts.filter(F.col("outcome") == "success").drop("outcome", "reason")
     new = run.staged("new_transcripts", maintenance.new_transcripts(run.part("transcripts", found), found, ORDER))
-    append("transcripts", maintenance.new_transcripts(run.part("transcripts", new), new, ORDER), run.database)
+    append("transcripts", maintenance.new_transcripts(run.part("transcripts", new), new, unique=True), run.database)
     return new
 
 

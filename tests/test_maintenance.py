@@ -134,6 +134,17 @@ def test_summary_folds_a_batch_once(spark, rows):
     assert after._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
 
 
+def test_rows_folded_before_are_not_folded_again(spark, rows):
+    ids = "video_id int, comment_id int, fetched_at timestamp, comment_count bigint, like_count bigint"
+    batch = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), None, None), (2, 2, dt.datetime(2024, 1, 2), 4, 5)], ids)
+    current = batch.filter("video_id = 1")
+    for new in (lambda **how: maintenance.new_stats("video_stats", current, batch, **how), lambda **how: maintenance.new_comments(current, batch, **how),
+                lambda **how: maintenance.new_transcripts(current, batch, **how)):
+        assert rows(new(unique=True)) == rows(new())
+        assert "Aggregate" not in new(unique=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
 def test_known_comments_still_mark_the_visit(spark, rows):
     comments = spark.createDataFrame([(1, 5, None)], "comment_id int, video_id int, like_count bigint")
     summary = spark.createDataFrame([(5, 1, None, 3, None), (6, 2, None, 9, None)], SUMMARY)
