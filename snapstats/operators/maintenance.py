@@ -85,7 +85,8 @@ def summary_after_stats(summary: DataFrame, batch: DataFrame, whole_table: bool
     # One fold by (time, count): a grouping by both before it would hold one hash map more of the whole batch in every task.
     latest = latest_per_key(_counts_filled(batch), ["video_id"], "fetched_at", ["comment_count"]).select(
         "video_id", F.lit(0).cast("bigint").alias("stored_comment_count"),
-        F.col("comment_count").alias("latest_youtube_comment_count"), F.col("fetched_at").alias("last_stats_fetch"))
+        F.when(F.col("fetched_at").isNotNull(), F.col("comment_count")).alias("latest_youtube_comment_count"),  # a row without a time tells no count
+        F.col("fetched_at").alias("last_stats_fetch"))
     return merge_by_key(summary, latest, ["video_id"], ["latest_youtube_comment_count", "last_stats_fetch"],
                         whole_table=whole_table, not_older="last_stats_fetch")
 
@@ -279,12 +280,13 @@ def remaining_ids(todo: DataFrame, processed: DataFrame, operation: str) -> Data
     return todo.join(done, ["channel_id", "video_id"], "left_anti")
 
 
-def save_progress(processed: DataFrame, done: DataFrame, operation: str) -> DataFrame:
+def save_progress(processed: DataFrame, done: DataFrame, operation: str, unique: bool = False) -> DataFrame:
     """Progress rows to append: ids done and not yet recorded. Columns of `done` beside the ids (run, time) are kept."""
     keys = ["channel_id", "operation", "video_id"]
     rows = done.withColumn("operation", F.lit(operation))
     rest = [c for c in rows.columns if c not in keys]
-    rows = first_per_key(rows.select(*keys, *rest), keys, None)
+    rows = rows.select(*keys, *rest)
+    rows = rows if unique else first_per_key(rows, keys, None)
     return rows_missing(rows, processed, keys)
 
 
