@@ -64,7 +64,7 @@ class Run:
     def _claims(self, name: str) -> bool:
         table = qualified(name, self.database)
         stands = property_of(self.spark, table, RUN_PROPERTY) or ""
-        note = self.spark.createDataFrame([(stands,)], "run string")
+        note = self.spark.range(1, numPartitions=1).select(F.lit(stands).alias("run"))
         base = self._kept(f"{self.folder}/{self.run_id}/base/{name}", note).first()["run"]
         if stands not in (base, self.run_id):
             return False
@@ -139,7 +139,7 @@ def apply_landing(run: Run, landing: Mapping[str, str], max_replies: int = 10, r
         run.merge("playlists", lists, lambda part: maintenance.upsert_playlists(part, lists, order=ORDER, as_of=run.as_of))
     if "video" in landing:
         videos = run.staged("video_crawls", _shaped(run, landing, "video", "video_id", shaping.video_rows, bad=bad))
-        run.merge("videos", videos, lambda part: maintenance.upsert_videos(part, videos, order=ORDER, as_of=run.as_of))
+        run.merge("videos", videos, lambda part: maintenance.upsert_videos(part, videos, order=ORDER, as_of=run.as_of, whole_table=True))
         last_videos = run.staged("videos", _last(videos, "video_id"))
         run.merge("chapters", last_videos, lambda part: maintenance.replace_chapters(part, shaping.chapter_rows(last_videos), last_videos))
     if "comment_thread" in landing:
@@ -171,7 +171,8 @@ def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None
     stats = inserted = None
     touched = []
     if videos is not None:
-        stats = first_per_key(videos.select("video_id", "fetched_at", "view_count", "like_count", "comment_count", ORDER), ["video_id", "fetched_at"], ORDER)
+        stats = videos.select("video_id", "fetched_at", "view_count", "like_count", "comment_count", ORDER)
+        stats = run.staged("stats", first_per_key(stats, ["video_id", "fetched_at"], ORDER).drop(ORDER))  # read four times
         touched.append(videos.select("video_id"))
     if comments is not None:
         inserted = run.staged("new_comments", maintenance.new_comments(run.part("comments", comments, ["comment_id"]), comments, ORDER))
@@ -179,14 +180,14 @@ def _apply_counts(run: Run, videos: DataFrame | None, comments: DataFrame | None
 
     def counted(summary: DataFrame) -> DataFrame:
         if stats is not None:
-            summary = maintenance.summary_after_stats(summary, stats)
+            summary = maintenance.summary_after_stats(summary, stats, whole_table=True)
         return summary if inserted is None else maintenance.summary_after_comments(summary, inserted, comments, run.as_of)
     if touched:
         run.merge("video_comment_summary", reduce(DataFrame.union, touched), counted)
     if stats is not None:
-        append("video_stats", maintenance.new_stats("video_stats", run.part("video_stats", stats), stats, ORDER), run.database)
+        append("video_stats", maintenance.new_stats("video_stats", run.part("video_stats", stats), stats, unique=True), run.database)
     if inserted is not None:
-        append("comments", maintenance.new_comments(run.part("comments", inserted, ["comment_id"]), inserted, ORDER), run.database)
+        append("comments", maintenance.new_comments(run.part("comments", inserted, ["comment_id"]), inserted, unique=True), run.database)
 
 
 def _apply_transcripts(run: Run, landing: Mapping[str, str], bad: list[str]) -> DataFrame:
@@ -208,8 +209,8 @@ def _apply_transcripts(run: Run, landing: Mapping[str, str], bad: list[str]) ->
 def save_progress(run: Run, done: DataFrame, operation: str) -> None:
     """Note finished work (channel_id, video_id), once, under the run and its time."""
     rows = done.withColumns({"fetch_id": F.xxhash64(F.lit(run.run_id), "channel_id"), "last_updated": moment(run.as_of)})
-    rows = run.staged(f"progress/{operation}", rows)
-    append("fetch_progress", maintenance.save_progress(run.part("fetch_progress", rows), rows, operation), run.database)
+    rows = run.staged(f"progress/{operation}", first_per_key(rows, ["channel_id", "video_id"], None))
+    append("fetch_progress", maintenance.save_progress(run.part("fetch_progress", rows), rows, operation, unique=True), run.database)
 
 
 def resumed(run: Run, todo: DataFrame, operation: str) -> DataFrame:

@@ -207,3 +207,22 @@ def test_progress_resumes(spark, rows):
     one = spark.createDataFrame([(1,)], "channel_id int")
     assert rows(maintenance.clear_progress(all_done, one)) == [(2, "videos", 10)]
     assert rows(maintenance.clear_progress(all_done, one, "videos")) == [(1, "comments", 11), (2, "videos", 10)]
+
+
+def test_progress_folded_before_is_not_folded_again(spark, rows):
+    done = spark.createDataFrame([("c", "v1", 1), ("c", "v2", 1)], "channel_id string, video_id string, fetch_id bigint")
+    known = done.filter("video_id = 'v1'").withColumn("operation", F.lit("videos"))
+    once = maintenance.save_progress(known, done, "videos", unique=True)
+    assert rows(once) == rows(maintenance.save_progress(known, done, "videos"))
+    assert "Aggregate" not in once._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_grouped_sources_are_stored_before_a_sync(spark, folder, rows):
+    from snapstats.plans import store_queries
+    from snapstats.plans.driver_tables import DriverTables
+    spark.createDataFrame([(1, 2, 3, 4, "N"), (1, 2, 5, 6, "R"), (7, 1, None, None, None)],
+                          "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string").write.parquet(f"{folder}/lineitem.parquet")
+    t = DriverTables(spark, folder)
+    stored = store_queries._stored_view(t, "chapters", folder)
+    assert rows(stored) == rows(t["chapters"]) and stored.columns == t["chapters"].columns
+    assert "Aggregate" not in stored._jdf.queryExecution().optimizedPlan().toString()
