@@ -112,12 +112,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _bucket_members(classes: DataFrame) -> DataFrame:
-    """(key, c, n, mates, mass): classes by shared bucket; mass counts the bucket mates of the class over all its buckets."""
-    entries = classes.select(F.explode("_keys").alias("key"), F.col("_c").alias("c"), F.col("_n").alias("n")).distinct()
+    """(key, c, n, mates): classes by shared bucket. A class that several texts of an id bring to a bucket may stand there again."""
+    entries = classes.select(F.explode("_keys").alias("key"), F.col("_c").alias("c"), F.col("_n").alias("n"))
     # Stored, so that the join meets two plain shuffles, whose large partitions Spark splits.
     shared = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1"), "shared")
-    members = stored(entries.join(shared, "key"), "buckets")
-    return members.join(members.groupBy("c").agg(F.sum(F.col("mates") - 1).alias("mass")), "c").select("key", "c", "n", "mates", "mass")
+    return entries.join(shared, "key").select("key", "c", "n", "mates")
 
 
 def _sizes_fit(a: str, b: str, percent: int):
@@ -218,26 +217,30 @@ def _across(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int)
             .select("key", "c", "root", "block", "i", "j", "_set").mapInArrow(_compare(percent), "a bigint, b bigint"))
 
 
-def _links(body: DataFrame, classes: DataFrame, percent: int) -> list[DataFrame]:
-    """Confirmed links that connect all similar classes."""
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after more links; the components so far stand for the links that made them."""
+    if links.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
+def _roots(body: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of all classes that are linked, by confirmed links that connect all similar classes."""
     members = stored(_bucket_members(classes), "members")
-    wanted = stored(members.select(F.col("c").alias("_id")).distinct(), "wanted")
-    sets = stored(body.join(hinted(wanted), "_id", "left_semi").mapInArrow(_sets_of, "_id bigint, _set array<bigint>"), "full-sets")
+    # How many bucket mates a class has, over all its buckets.
+    mass = stored(members.groupBy("c").agg(F.sum(F.col("mates") - 1).alias("mass")), "mass")
+    sets = stored(body.join(hinted(mass.select(F.col("c").alias("_id"))), "_id", "left_semi").mapInArrow(_sets_of, "_id bigint, _set array<bigint>"), "full-sets")
 
-    leaders = members.groupBy("key").agg(F.max(F.struct("mass", (-F.col("c")).alias("m"), F.col("n").alias("ln"))).alias("l"))
+    leaders = stored(members.join(mass, "c").groupBy("key").agg(F.max(F.struct("mass", (-F.col("c")).alias("m"), F.col("n").alias("ln"))).alias("l")), "leaders")
     stars = stored(
         members.join(leaders, "key").select("c", "n", (-F.col("l.m")).alias("lead"), F.col("l.ln").alias("ln"))
         .where("c <> lead").where(_sizes_fit("n", "ln", percent))
         .groupBy(F.greatest("c", "lead").alias("a"), F.least("c", "lead").alias("b"), "c").agg(F.count(F.lit(1)).alias("times")), "stars")
     best = stars.groupBy("c").agg(F.max(F.struct("times", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    links = [stored(_confirmed(best, sets, percent), "links")]
-    roots = stored(components(links[0]), "roots")
+    roots = components(stored(_confirmed(best, sets, percent), "links"))
     rest = _unsettled(stars.select("a", "b").distinct(), roots)
-    links.append(stored(_confirmed(rest, sets, percent), "links"))
-    roots = stored(components(links[0].unionByName(links[1])), "roots")
-
-    links.append(stored(_across(members, roots, sets, percent), "links"))
-    return links
+    roots = _merged(roots, stored(_confirmed(rest, sets, percent), "links"))
+    return _merged(roots, stored(_across(members, roots, sets, percent), "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -245,18 +248,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     body = ship(docs).select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"))
     rows = stored(body.mapInArrow(_class_rows, "_id bigint, _n bigint, _d1 bigint, _d2 bigint, _keys array<bigint>"), "sets")
     named = rows.where("_n > 0 and _id is not null")
-    first = stored(named.groupBy("_d1", "_d2").agg(F.min("_id").alias("_c")), "firsts")
-    classed = named.select("_id", "_d1", "_d2", "_n", "_keys").join(first, ["_d1", "_d2"])
-    classes = stored(classed.where("_id = _c").select("_c", "_n", "_keys").distinct(), "classes")
+    # Rows of a class have the same set, so any of them tells its size and keys.
+    classes = stored(named.groupBy("_d1", "_d2").agg(F.min("_id").alias("_c"), F.first("_n").alias("_n"), F.first("_keys").alias("_keys")), "classes")
+    of_ids = stored(named.select("_id", "_d1", "_d2").join(classes.select("_d1", "_d2", "_c"), ["_d1", "_d2"]).select("_id", "_c"), "of-ids")
     # An id that repeats with different texts joins their classes.
-    of_ids = stored(named.select("_id", "_d1", "_d2").join(first, ["_d1", "_d2"]).select("_id", "_d1", "_d2", "_c"), "of-ids")
     several = of_ids.groupBy("_id").agg(F.min("_c").alias("b"), F.max("_c").alias("_hi")).where("b <> _hi").select("_id", "b")
-    links = [*_links(body, classes, percent), of_ids.join(several, "_id").select(F.col("_c").alias("a"), "b")]
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    roots = stored(components(edges), "roots")
-    placed = (of_ids.select("_id", "_d1", "_d2", "_c").distinct().join(roots, F.col("_c") == F.col("node"), "left")
+    several = stored(of_ids.join(several, "_id").select(F.col("_c").alias("a"), "b"), "several")
+    roots = _merged(_roots(body, classes, percent), several)
+    placed = (of_ids.distinct().join(roots, F.col("_c") == F.col("node"), "left")
               .groupBy("_id").agg(F.min(F.coalesce("root", "_c")).alias("_root")))
     component = F.coalesce("_root", "_id")
     return rows.select("_id", "_n").join(placed, "_id", "left").select(

@@ -100,3 +100,20 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()) == {n: r for n, r in root.items() if n in linked}
+
+
+def test_stars_settle_in_one_step(spark, tmp_path):
+    """A graph that is a star already takes one aggregation; links that add nothing start no new round."""
+    edges = spark.createDataFrame([(n, 1) for n in range(2, 50)] + [(n, 100) for n in range(101, 120)], "a bigint, b bigint")
+    tracker, names = spark.sparkContext.statusTracker(), []
+    spark.sparkContext.setJobGroup("stars", "stars")
+    try:
+        roots = components(edges)
+        names = tracker.getJobIdsForGroup("stars")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(names) <= 8
+    assert minhash._merged(roots, edges.limit(0)) is roots
+    assert dict(roots.collect()) == {n: 1 if n < 50 else 100 for n in [*range(1, 50), *range(100, 120)]}
+    joined = minhash._merged(roots, spark.createDataFrame([(119, 3)], "a bigint, b bigint"))
+    assert set(dict(joined.collect()).values()) == {1}
