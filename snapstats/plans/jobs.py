@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapstats.functions.timeutil import AsOf, moment
 from snapstats.operators import maintenance, planning, shaping
 from snapstats.operators.keyed import first_per_key, latest_per_key
-from snapstats.schemas import MONTH_PARTITIONED
 from snapstats.sources.landing import CORRUPT, PLACE, corrupt, read_landing, readable
 from snapstats.sources.tables import (
-    all_parts, append, conform, load_catalog, part_for, parts_of, property_of, qualified, replace_parts, rows_in,
+    all_parts, append, conform, in_parts, layout_columns, load_catalog, part_for, parts_of, property_of, qualified, replace_parts, rows_in,
 )
 
 
 RUN_PROPERTY = "snapstats.run"
+# More ids than this are hashed where their rows are, not broadcast (a broadcast lies in the driver too) nor sorted.
+HASHED_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,28 @@ class Run:
             if parts:
                 replace_parts(name, rows, parts, self.database)
 
+    def drop(self, name: str, batch: DataFrame, keep: Callable[[DataFrame], DataFrame], step: str = "dropped") -> DataFrame:
+        """Leave out of a table the rows that `keep` leaves out, all of which have keys of a stored batch; returns how many, by part.
+
+        The table is joined once: counts before and after tell the parts that lost rows, and only those are replaced. What is left is
+        stored before the table changes, and a repeated run does what it does in `merge`.
+        """
+        columns, claimed = layout_columns(name), self._claims(name)
+
+        def stored() -> DataFrame:
+            return part_for(self.spark, name, batch, self.database, layout=True)
+
+        def counts(rows: DataFrame) -> DataFrame:
+            return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+        held = self.staged(f"{step}/held/{name}", lambda: counts(stored()))
+        rest = self.staged(f"{step}/{name}", lambda: keep(stored()))
+        change = held.unionByName(counts(rest).withColumn("n", -F.col("n")))
+        lost = self.staged(f"{step}/lost/{name}", lambda: change.groupBy(*columns).agg(F.sum("n").alias("n")).where("n > 0"))
+        parts = all_parts([tuple(r) for r in lost.select(*columns).collect()])
+        if claimed and parts:
+            replace_parts(name, in_parts(name, rest, parts), parts, self.database)
+        return lost
+
     def _claims(self, name: str) -> bool:
         table = qualified(name, self.database)
         stands = property_of(self.spark, table, RUN_PROPERTY) or ""
@@ -243,12 +266,11 @@ def purge(run: Run, older_than_days: int = 30, channel_id: str | None = None) ->
     Only partitions that hold such rows are rewritten. The videos themselves go last, so a run that was cut short finds them again.
     """
     victims = run.staged("victims", lambda: maintenance.purge_victims(run.table("videos"), run.as_of, older_than_days, channel_id))
+    ids = victims.hint("shuffle_hash") if victims.count() > HASHED_IDS else victims
     counts = []
     for name in maintenance.VIDEO_TABLES:
-        keys = ["video_id", *([MONTH_PARTITIONED[name]] if name in MONTH_PARTITIONED else [])]
-        doomed = run.staged(f"doomed/{name}", lambda name=name, keys=keys: run.part(name, victims).join(victims, "video_id", "left_semi").select(*keys))
-        run.merge(name, doomed, lambda part: part.join(victims, "video_id", "left_anti"), "purged")
-        counts.append(doomed.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("purged")))
+        lost = run.drop(name, victims, lambda part: part.join(ids, "video_id", "left_anti"), "purged")
+        counts.append(lost.agg(F.lit(name).alias("table"), F.coalesce(F.sum("n"), F.lit(0)).alias("purged")))
     return reduce(DataFrame.unionByName, counts)
 
 

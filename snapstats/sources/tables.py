@@ -152,6 +152,11 @@ def rows_in(spark: SparkSession, table: str, parts: Sequence[tuple], database: s
     return stored.filter(_any_of(columns, parts)).drop(*columns)
 
 
+def in_parts(table: str, rows: DataFrame, parts: Sequence[tuple]) -> DataFrame:
+    """Those of `rows`, which have the table's layout columns, that lie in these partitions (see `all_parts`)."""
+    return rows.filter(_any_of(layout_columns(table), parts))
+
+
 def replace_parts(table: str, rows: DataFrame, parts: Iterable[tuple], database: str | None = None) -> None:
     """Put `rows` in the place of all that the partitions `parts` hold; other partitions' files are not touched.
 
@@ -176,14 +181,16 @@ def replace_parts(table: str, rows: DataFrame, parts: Iterable[tuple], database:
 
 
 def _literal(value) -> str:
-    return str(value) if isinstance(value, int) else f"DATE '{value}'"
+    return "null" if value is None else str(value) if isinstance(value, int) else f"DATE '{value}'"
 
 
 def _any_of(columns: Sequence[str], parts: Iterable[tuple]) -> Column:
     """A filter on the layout columns that keeps all of `parts`."""
     keep = F.lit(True)
     for k, column in enumerate(columns):
-        keep = keep & F.col(column).isin(sorted({p[k] for p in parts}))
+        values = {p[k] for p in parts}
+        known = F.col(column).isin(sorted(values - {None}))
+        keep = keep & (known | F.col(column).isNull() if None in values else known)
     return keep
 
 
