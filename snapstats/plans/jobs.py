@@ -28,6 +28,9 @@ from snapstats.sources.tables import (
 RUN_PROPERTY = "snapstats.run"
 # More ids than this are hashed where their rows are, not broadcast (a broadcast lies in the driver too) nor sorted.
 HASHED_IDS = 1_000_000
+# A stored batch of more rows is shuffled and sorted for its joins, never broadcast. Spark guesses a broadcast from the bytes of the files
+# and the widths of the columns: ids that compress well, beside many columns, take a hundred times that in the driver.
+SORTED_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,11 @@ class Run:
         return part_for(self.spark, name, batch, self.database, by)
 
     def staged(self, name: str, rows: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+        """A stored batch, for joins with it as well: one of many rows is not broadcast, whatever its files weigh."""
+        batch = self._stored(name, rows)
+        return batch.hint("merge") if batch.count() > SORTED_ROWS else batch
+
+    def _stored(self, name: str, rows: DataFrame | Callable[[], DataFrame]) -> DataFrame:
         return self._kept(f"{self.folder}/{self.run_id}/staged/{name}", rows)
 
     def merge(self, name: str, batch: DataFrame, change: Callable[[DataFrame], DataFrame], step: str = "merged") -> None:
@@ -58,7 +66,7 @@ class Run:
         """
         if self._claims(name):
             parts = all_parts(parts_of(self.spark, name, batch, self.database))
-            rows = self.staged(f"{step}/{name}", lambda: conform(name, change(rows_in(self.spark, name, parts, self.database))))
+            rows = self._stored(f"{step}/{name}", lambda: conform(name, change(rows_in(self.spark, name, parts, self.database))))
             if parts:
                 replace_parts(name, rows, parts, self.database)
 
@@ -75,10 +83,10 @@ class Run:
 
         def counts(rows: DataFrame) -> DataFrame:
             return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        held = self.staged(f"{step}/held/{name}", lambda: counts(stored()))
-        rest = self.staged(f"{step}/{name}", lambda: keep(stored()))
+        held = self._stored(f"{step}/held/{name}", lambda: counts(stored()))
+        rest = self._stored(f"{step}/{name}", lambda: keep(stored()))
         change = held.unionByName(counts(rest).withColumn("n", -F.col("n")))
-        lost = self.staged(f"{step}/lost/{name}", lambda: change.groupBy(*columns).agg(F.sum("n").alias("n")).where("n > 0"))
+        lost = self._stored(f"{step}/lost/{name}", lambda: change.groupBy(*columns).agg(F.sum("n").alias("n")).where("n > 0"))
         parts = all_parts([tuple(r) for r in lost.select(*columns).collect()])
         if claimed and parts:
             replace_parts(name, in_parts(name, rest, parts), parts, self.database)
@@ -130,10 +138,10 @@ def _shaped(run: Run, landing: Mapping[str, str], kind: str, key: str, shape: Ca
     """Rows with a key of one landing folder, every crawl of it, with `fetched_at` and ORDER. Unreadable lines and rows
     without a key are set aside in the run's folder, and `bad` gets a line that counts them."""
     landed = read_landing(run.spark, landing[kind], kind, f"{extra}, fetched_at timestamp" if extra else "fetched_at timestamp", place=True)
-    landed = run.staged(f"landed/{kind}", landed)  # parsed once for the three ways its lines go
+    landed = run._stored(f"landed/{kind}", landed)  # parsed once for the three ways its lines go
     rows = shape(readable(landed), ["fetched_at", PLACE])
-    lines = run.staged(f"quarantine/{kind}/lines", corrupt(landed).select(CORRUPT)).count()
-    keyless = run.staged(f"quarantine/{kind}/rows", shaping.rejected_rows(rows, key)).count()
+    lines = run._stored(f"quarantine/{kind}/lines", corrupt(landed).select(CORRUPT)).count()
+    keyless = run._stored(f"quarantine/{kind}/rows", shaping.rejected_rows(rows, key)).count()
     if bad is not None and lines + keyless:
         bad.append(f"{kind}: {lines} unreadable lines, {keyless} rows without a key")
     fetched = F.coalesce("fetched_at", moment(run.as_of)).alias("fetched_at")
@@ -265,7 +273,7 @@ def purge(run: Run, older_than_days: int = 30, channel_id: str | None = None) ->
 
     Only partitions that hold such rows are rewritten. The videos themselves go last, so a run that was cut short finds them again.
     """
-    victims = run.staged("victims", lambda: maintenance.purge_victims(run.table("videos"), run.as_of, older_than_days, channel_id))
+    victims = run._stored("victims", lambda: maintenance.purge_victims(run.table("videos"), run.as_of, older_than_days, channel_id))
     ids = victims.hint("shuffle_hash") if victims.count() > HASHED_IDS else victims
     counts = []
     for name in maintenance.VIDEO_TABLES:
